@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from alertloom.constants import SOURCE_TAG
 from alertloom.functions.columns import iso_timestamp
-from alertloom.functions.sizing import broadcast_if_small
+from alertloom.functions.sizing import BROADCAST_BYTES, broadcast_if_small, estimated_bytes
 
 
 def severity_of_level(level: Column) -> Column:
@@ -102,6 +102,8 @@ def enrich(alerts: DataFrame, assets: DataFrame) -> DataFrame:
     The dimension is broadcast while it is small. One IP must name one asset, so duplicate
     addresses keep the first host name and alerts are never multiplied.
     """
+    if estimated_bytes(assets) <= BROADCAST_BYTES:
+        assets = assets.coalesce(1)
     dimension = (
         assets.filter(F.col("ip_address").isNotNull())
         .groupBy("ip_address")
