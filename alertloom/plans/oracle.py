@@ -73,7 +73,7 @@ matches AS (
 COUNTED = """
 gaps AS (
   SELECT m.*, r.threshold, r.window_sec,
-    CASE WHEN ts_us - lag(ts_us) OVER (PARTITION BY m.rule_id, key ORDER BY ts_us, eid) > r.window_sec * 1000000
+    CASE WHEN ts_us - lag(ts_us) OVER (PARTITION BY m.rule_id, key ORDER BY ts_us, eid) > r.window_sec * 1000000::BIGINT
       THEN 1 ELSE 0 END AS brk
   FROM matches m JOIN rules r ON r.rule_id = m.rule_id WHERE m.rule_id <> 'CORR-003'
 ),
@@ -91,7 +91,7 @@ walk AS (
   SELECT key, rn, ts_us, eid, CASE WHEN len(s) >= 3 THEN [] ELSE s END, len(s) >= 3
   FROM (
     SELECT m.key, m.rn, m.ts_us, m.eid,
-      list_distinct(list_append(CASE WHEN m.ts_us - w.ts_us > 300 * 360 * 1000000 THEN [] ELSE w.seen END, m.member)) AS s
+      list_distinct(list_append(CASE WHEN m.ts_us - w.ts_us > 300 * 360 * 1000000::BIGINT THEN [] ELSE w.seen END, m.member)) AS s
     FROM walk w JOIN lateral_rows m ON m.key = w.key AND m.rn = w.rn + 1)
 )"""
 
@@ -173,7 +173,7 @@ labelled AS (
   SELECT label, scenario_id, run_id, rule_id, CAST(level AS VARCHAR) AS rule_level, description AS rule_description,
     array_to_string(groups, '|') AS rule_groups, agent_id, agent_name, coalesce(srcip, '') AS srcip,
     CASE WHEN event_type = 'error' THEN 'user' || user_id ELSE '' END AS dstuser,
-    strftime(ts, CASE WHEN ts_us % 1000000 = 0 THEN '%Y-%m-%dT%H:%M:%S' ELSE '%Y-%m-%dT%H:%M:%S.%f' END) || '+00:00' AS "timestamp",
+    CASE WHEN ts_us % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END || '+00:00' AS "timestamp",
     eid AS event_id, event_id AS event_no
   FROM ranked WHERE pick = 1
 )"""
@@ -312,7 +312,7 @@ SELECT r.rule_id, count(m.rule_id) AS matched FROM rules r LEFT JOIN matches m O
     "q_incidents": _FLAT_INCIDENTS,
     "q_incidents_split": _FLAT_INCIDENTS,
     "q_open_counts": _with(RAW, RULES, COUNTED) + """
-SELECT rule_id, key, CAST(CASE WHEN (SELECT max(epoch_us(ts)) FROM events) - ts_us > window_sec * 1000000 THEN 0
+SELECT rule_id, key, CAST(CASE WHEN (SELECT max(epoch_us(ts)) FROM events) - ts_us > window_sec * 1000000::BIGINT THEN 0
   ELSE n % threshold END AS BIGINT) AS open_count
 FROM numbered QUALIFY row_number() OVER (PARTITION BY rule_id, key ORDER BY ts_us DESC, eid DESC) = 1""",
     "q_counters": ALL_FIRED + """
@@ -342,7 +342,7 @@ FROM repeated GROUP BY sid""",
 SELECT id, array_to_string(list_filter([CASE WHEN event_id % 23 = 0 THEN 'first_seen is null' END,
   CASE WHEN event_id % 17 = 0 THEN 'severity out of range' END,
   CASE WHEN event_id % 19 = 0 THEN 'confidence out of range' END,
-  CASE WHEN event_id % 5 > 3 THEN 'label out of range' END], x -> x IS NOT NULL), '; ') AS reasons
+  CASE WHEN event_id % 5 > 3 THEN 'label out of range' END], lambda x: x IS NOT NULL), '; ') AS reasons
 FROM incidents WHERE event_id % 23 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 5 > 3""",
     "q_docs": _with(RAW, RULES, COUNTED, DISTINCT, FIRED, INCIDENTS, _FOLDED) + f"""
 SELECT sid AS incident_id, {stamp('max(created_at)')} AS ts, arg_max(severity_text, (created_at, id)) AS severity,

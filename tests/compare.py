@@ -67,4 +67,4 @@ if __name__ == "__main__":
                 result = f"rows {df.count()}"
         except Exception as e:
             result = f"ERROR {type(e).__name__} {str(e)[:700]}"
-        print(f"{name:22s} {time.time() - started:6.2f}s {result[:900]}", flush=True)
+        print(f"\n{name:22s} {time.time() - started:6.2f}s {result[:900]}", flush=True)
