@@ -474,3 +474,8 @@ FROM events WHERE event_type IN ('signup', 'click') AND 4670 + event_id % 5 = 46
 SELECT rule_id, CASE WHEN rule_id = '100201' THEN 'reconnaissance' WHEN rule_id IN ('5710','5712','100210') THEN 'brute_force' END AS attack_class,
   count(*) AS n FROM raw GROUP BY rule_id""",
 }
+
+# A stream gives what its batch twin gives.
+ORACLE["s_ingest"] = ORACLE["q_ingest"]
+ORACLE["s_corr"] = ORACLE["q_incidents"]
+ORACLE["s_store"] = ORACLE["q_store_row"]

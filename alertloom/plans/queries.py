@@ -1,6 +1,7 @@
 """The registered queries: name to (spark, sf_dir) -> DataFrame. Nested values are flattened to
 text and times to UTC text, so results compare across engines."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -8,10 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from alertloom.constants import RETENTION_DAYS
 from alertloom.functions.columns import micros
 from alertloom.operators import analytics as g, correlate, detect, evaluate, labeling, portscan, store
+from alertloom.operators import model as classifier
 from alertloom.operators.features import features
 from alertloom.operators.rules import fan_out, match_counts
 from alertloom.plans import derive as d
+from alertloom.session import work_path
 from alertloom.sources import alerts as feed, events as ev, tables
+from alertloom.sources.connectors import Topics
+from alertloom.streaming import jobs
+from alertloom.streaming.correlate import correlate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -564,3 +570,103 @@ def q_rule_class(spark, sf_dir):
     rule = F.col("rule.id")
     return d.raw_alerts(spark, sf_dir).groupBy(
         rule.alias("rule_id"), detect.rule_attack_class(rule).alias("attack_class")).agg(F.count("*").alias("n"))
+
+
+# --- streams --------------------------------------------------------------------------------
+
+
+def _streams(spark: SparkSession) -> None:
+    """State store of the stateful queries."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def _run(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """A folder in the shared space for one run of a stream."""
+    return work_path(spark, "streams", f"{name}-{uuid.uuid4().hex}")
+
+
+# An alert after all others, so that the watermark passes the last real one.
+_FLUSH = '{"id":"flush","timestamp":"2100-01-01T00:00:00+00:00","agent":{"name":"flush"}}'
+
+
+@query
+def s_ingest(spark, sf_dir):
+    """The untidy feed as a stream of landed files: good alerts, stamped."""
+    base = _run(spark, "ingest", sf_dir)
+    _lines(spark, sf_dir).write.text(f"{base}/landing")
+    alerts = feed.ingest(feed.follow_lines(spark, f"{base}/landing"))
+    jobs.run_available(jobs.to_table(alerts, f"{base}/alerts", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/alerts").select(
+        "_event_id", "_source", "timestamp", F.col("rule.id").alias("rule_id"), F.col("rule.level").alias("level"),
+        F.col("agent.name").alias("agent_name"), F.col("data.srcip").alias("srcip"))
+
+
+@query
+def s_corr(spark, sf_dir):
+    """Landed alert lines to incidents in one stream: parse, enrich, correlate."""
+    _streams(spark)
+    base = _run(spark, "correlate", sf_dir)
+    ev.alert_lines(ev.table(spark, sf_dir, "events")).write.text(f"{base}/landing")
+    spark.range(1).select(F.lit(_FLUSH).alias("value")).write.mode("append").text(f"{base}/landing")
+    alerts = jobs.enriched_stream(feed.follow_lines(spark, f"{base}/landing"), tables.seed_assets(spark))
+    found = correlate_stream(alerts, d.TEST_RULES)
+    jobs.run_available(jobs.to_table(found, f"{base}/incidents", f"{base}/checkpoint"))
+    return _flat_incidents(spark.read.parquet(f"{base}/incidents"))
+
+
+@query
+def s_store(spark, sf_dir):
+    """Scored incidents from a topic into the table log and the documents; the current table."""
+    base = _run(spark, "store", sf_dir)
+    topics = Topics("files", f"{base}/topics")
+    topics.write(d.score_by_rule(d.incidents(spark, sf_dir)), "results", key="incident_id")
+    scored = jobs.scored_incidents_of(topics.read_stream(spark, "results"))
+    jobs.run_available(jobs.store_stream(
+        scored, f"{base}/checkpoint", f"{base}/table", f"{base}/documents", f"{base}/rejects"))
+    return store.current_incidents(spark, f"{base}/table").select(
+        "id", at("created_at").alias("created_at"), at("last_seen").alias("last_seen"), "severity", "category",
+        "confidence", F.array_join("source_ips", ",").alias("source_ips"),
+        F.array_join("target_hosts", ",").alias("target_hosts"), "event_count", "status")
+
+
+# --- model ----------------------------------------------------------------------------------
+
+
+@query
+def ml_score(spark, sf_dir):
+    """Incidents per class, with the mean confidence, as the trained classifier scores them."""
+    model = classifier.load_or_train(spark, work_path(spark, "model"))
+    scored = classifier.score(model, d.incidents(spark, sf_dir))
+    return scored.groupBy("correlation_rule.id", "ai_inference.attack_class").agg(
+        F.count("*").alias("n"), F.avg("ai_inference.confidence").alias("confidence"),
+        F.count_if("ai_inference.is_true_positive").alias("true_positives"))
+
+
+@query
+def s_score(spark, sf_dir):
+    """Incidents from a topic scored in a stream."""
+    model = classifier.load_or_train(spark, work_path(spark, "model"))
+    base = _run(spark, "score", sf_dir)
+    topics = Topics("files", f"{base}/topics")
+    topics.write(d.incidents(spark, sf_dir), "incidents", key="incident_id")
+    scored = jobs.score_stream(jobs.incidents_of(topics.read_stream(spark, "incidents")), model)
+    jobs.run_available(topics.write_stream(scored, "results", f"{base}/checkpoint", key="incident_id"))
+    return jobs.scored_incidents_of(topics.read(spark, "results")).select(
+        "incident_id", "ai_inference.attack_class", "ai_inference.confidence", "ai_inference.is_true_positive")
+
+
+@query
+def ml_grid(spark, sf_dir):
+    """Cross-validated macro-F1 of every forest of the grid on the training runs' alerts."""
+    rows = d.labelled(spark, sf_dir)
+    encoded = evaluate.encode(rows).withColumn("digest", F.md5("event_id"))
+    train, _ = evaluate.split(encoded, "digest")
+    inputs = [f"{c}_enc" for c in evaluate.CATEGORICAL] + ["rule_level"]
+    search, _ = evaluate.grid_search(train.filter("split = 'train'"), inputs, "digest")
+    scores = []
+    for grid, score in zip(search.getEstimatorParamMaps(), search.avgMetrics):
+        chosen = {param.name: value for param, value in grid.items()}
+        scores.append((chosen["maxDepth"], chosen["numTrees"], float(score)))
+    return spark.createDataFrame(scores, "max_depth int, trees int, macro_f1 double")

@@ -9,6 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+# Times keep their microseconds.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 @dataclass(frozen=True)
 class Topics:
@@ -73,5 +76,5 @@ class Topics:
 
 def encode(df: DataFrame, key: str | None = None) -> DataFrame:
     """``value`` JSON text, with ``key`` text in front when asked for."""
-    value = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")
+    value = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), _JSON).alias("value")
     return df.select(value) if key is None else df.select(F.col(key).cast("string").alias("key"), value)
