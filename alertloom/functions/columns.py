@@ -22,6 +22,12 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def once(value: Column) -> Column:
+    """``value`` as a generator of one row. Filters on it are not pushed below the generator,
+    so a costly expression is computed once instead of in every filter and projection."""
+    return F.explode(F.array(value))
+
+
 def percent(value: Column) -> Column:
     """``0.4567`` as ``45.7%``; a dash for null."""
     return F.when(value.isNull(), F.lit("—")).otherwise(F.format_string("%.1f%%", value * 100))

@@ -10,29 +10,23 @@ _FIELDS = {
     "interface": 5, "reason": 6, "action": 7, "protocol_id": 16, "protocol": 17,
     "srcip": 19, "dstip": 20, "srcport": 21, "dstport": 22,
 }
-_NUMERIC = [1, 9, 12, 16, 18, 21]
-_PRESENT = [4, 5, 6, 7, 8, 17, 19, 20]
+_NUMERIC = {1, 9, 12, 16, 18, 21, 22}
+_PRESENT = {4, 5, 6, 7, 8, 17, 19, 20}
+# Leading fields of a line with ports; what follows the destination port does not matter.
+_LINE = r"^filterlog(?:\[\d+\])?:\s*" + ",".join(
+    r"\d+" if p in _NUMERIC else r"[^,\s]+" if p in _PRESENT else r"[^,\s]*" for p in range(1, 23))
 
 
 def parse_firewall(lines: DataFrame) -> DataFrame:
     """Firewall events of log lines: the named fields by position. Lines of other programs,
     and of protocols without ports, are left out."""
-    body = F.regexp_extract("value", r"^filterlog(?:\[\d+\])?:\s*(.*)$", 1)
     kept = [c for c in lines.columns if c != "value"]
-    split = lines.filter(F.col("value").startswith("filterlog")).select(*kept, F.split(body, ",").alias("_f"))
-
-    def at(position: int) -> Column:
-        return F.get("_f", position - 1)
-
-    valid = F.size("_f") >= 22
-    for position in _NUMERIC:
-        valid = valid & at(position).rlike(r"^\d+$")
-    for position in _PRESENT:
-        valid = valid & at(position).rlike(r"^\S+$")
-    valid = valid & at(22).rlike(r"^\d+")
-    values = {name: at(position) for name, position in _FIELDS.items()}
-    values["dstport"] = F.regexp_extract(at(22), r"^(\d+)", 1)
-    return split.filter(valid).select(*kept, *[v.alias(n) for n, v in values.items()])
+    fields = F.split(F.regexp_extract("value", _LINE, 0), ",")
+    return (
+        lines.filter(F.col("value").startswith("filterlog") & F.col("value").rlike(_LINE))
+        .select(*kept, fields.alias("_f"))
+        .select(*kept, *[F.get("_f", position - 1).alias(name) for name, position in _FIELDS.items()])
+    )
 
 
 def firewall_alerts(events: DataFrame) -> DataFrame:

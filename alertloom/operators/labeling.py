@@ -1,12 +1,14 @@
 """Ground-truth labels: alerts joined to the attack runs whose padded window holds them."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from alertloom.functions.columns import micros
-from alertloom.functions.sizing import broadcast_if_small
+from alertloom.functions.sizing import BROADCAST_BYTES, estimated_bytes
 from alertloom.sources.alerts import alert_time
 
 BUCKET_SECONDS = 600
+# A run gives two pieces of the time line and one more per bucket it spans.
+RUN_LOG_BROADCAST_BYTES = BROADCAST_BYTES // 16
 
 
 def _iso(ts: Column) -> Column:
@@ -16,50 +18,72 @@ def _iso(ts: Column) -> Column:
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
 
 
-def _candidates(alerts: DataFrame, windows: DataFrame, bucket_seconds: int) -> DataFrame:
-    """Pairs of alert and run with start <= time <= end, both ends included.
+def segments(windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """The time line cut wherever a run window starts or ends, with the runs active in each piece.
 
-    Runs are listed under every time bucket they touch, an alert has one bucket, so the join
-    is an equi-join. The runs are broadcast only while small; otherwise both sides shuffle on
-    the bucket and adaptive execution splits buckets full of alerts.
+    Pieces lie within one time bucket and have ``first``, the active run that comes first in
+    file order, and ``targeted``, the first active run per non-empty target in file order (as
+    many entries as machines under test at that moment). Windows include both their ends.
     """
     width = bucket_seconds * 1_000_000
-    runs = windows.filter(F.col("start_ts") <= F.col("end_ts")).withColumn("_bucket", F.explode(F.sequence(
-        F.floor(micros(F.col("start_ts")) / width), F.floor(micros(F.col("end_ts")) / width))))
-    timed = alerts.withColumn("_bucket", F.floor(micros(F.col("alert_ts")) / width))
-    return timed.join(broadcast_if_small(runs), "_bucket").filter(
-        F.col("alert_ts").between(F.col("start_ts"), F.col("end_ts")))
+    run = F.struct("run_idx", "attack_class", "scenario_id", "run_id")
+    active = (
+        windows.select(
+            F.coalesce("target", F.lit("")).alias("target"), run.alias("run"),
+            micros(F.col("start_ts")).alias("start_us"), micros(F.col("end_ts")).alias("end_us"))
+        .filter(F.col("start_us") <= F.col("end_us"))
+        .withColumn("bucket", F.explode(F.sequence(F.expr(f"start_us div {width}"), F.expr(f"end_us div {width}"))))
+    )
+    opening = F.col("bucket") * width
+    cuts = (
+        active.select("bucket", F.explode(F.array(
+            F.greatest("start_us", opening), F.col("end_us") + 1)).alias("from_us"))
+        .filter(F.expr(f"from_us div {width}") == F.col("bucket")).distinct()
+    )
+    until = F.lead("from_us").over(Window.partitionBy("bucket").orderBy("from_us")) - 1
+    pieces = cuts.withColumn("until_us", F.coalesce(until, opening + (width - 1)))
+    held = pieces.join(active, "bucket").filter(F.col("from_us").between(F.col("start_us"), F.col("end_us")))
+    piece = ["bucket", "from_us", "until_us"]
+    return (
+        held.groupBy(*piece, "target").agg(F.min("run").alias("run"))
+        .groupBy(*piece).agg(
+            F.min("run").alias("first"),
+            F.sort_array(F.collect_list(F.when(F.col("target") != "", F.struct("run", "target")))).alias("targeted"))
+    )
 
 
 def label_alerts(alerts: DataFrame, windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Alerts within a run window with the label of one run; others are dropped.
 
     Of several candidate runs, the first in file order whose target is part of the alert's
-    source address wins, else the first in file order. The choice is a minimum per alert, so
-    it is combined before the shuffle and no list of candidates is ever built.
+    source address wins, else the first in file order. The choice is prepared on the side of
+    the runs, so an alert meets one piece of the time line at most: alerts are neither
+    multiplied nor grouped, and with a run log small enough to broadcast they are not shuffled.
+    A larger one is joined on the time bucket, where adaptive execution splits full buckets.
     """
-    wanted = ["rule", "agent", "data", "_event_id", "alert_ts"]
-    numbered = alerts.withColumn("alert_ts", alert_time()).filter(F.col("alert_ts").isNotNull()).select(
-        F.monotonically_increasing_id().alias("_row"), *wanted)
-    pairs = _candidates(numbered, windows, bucket_seconds)
+    timed = alerts.withColumn("alert_ts", alert_time()).withColumn("_us", micros(F.col("alert_ts"))).withColumn(
+        "_bucket", F.expr(f"_us div {bucket_seconds * 1_000_000}"))
+    pieces = segments(windows, bucket_seconds)
+    if estimated_bytes(windows) <= RUN_LOG_BROADCAST_BYTES:
+        pieces = F.broadcast(pieces)
+    met = timed.join(
+        pieces, (F.col("_bucket") == F.col("bucket")) & F.col("_us").between(F.col("from_us"), F.col("until_us")))
     source = F.coalesce("data.srcip", F.lit(""))
-    hit = F.coalesce((source != "") & (F.col("target") != "") & source.contains(F.col("target")), F.lit(False))
-    chosen = pairs.groupBy("_row").agg(
-        F.min(F.struct(~hit, "run_idx", "attack_class", "scenario_id", "run_id")).alias("run"),
-        F.any_value(F.struct(*wanted)).alias("alert"))
+    matching = F.filter("targeted", lambda t: source.contains(t["target"]))
+    run = F.coalesce(F.when(source != "", F.get(matching, 0)["run"]), F.col("first"))
 
     def text(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(""))
 
-    return chosen.select(
+    return met.withColumn("run", run).select(
         F.col("run.attack_class").alias("label"), "run.scenario_id", "run.run_id",
-        text("alert.rule.id").alias("rule_id"), text("alert.rule.level").alias("rule_level"),
-        text("alert.rule.description").alias("rule_description"),
-        F.coalesce(F.array_join("alert.rule.groups", "|"), F.lit("")).alias("rule_groups"),
-        text("alert.agent.id").alias("agent_id"), text("alert.agent.name").alias("agent_name"),
-        text("alert.data.srcip").alias("srcip"), text("alert.data.dstuser").alias("dstuser"),
-        _iso(F.col("alert.alert_ts")).alias("timestamp"),
-        F.col("alert._event_id").alias("event_id"),
+        text("rule.id").alias("rule_id"), text("rule.level").alias("rule_level"),
+        text("rule.description").alias("rule_description"),
+        F.coalesce(F.array_join("rule.groups", "|"), F.lit("")).alias("rule_groups"),
+        text("agent.id").alias("agent_id"), text("agent.name").alias("agent_name"),
+        text("data.srcip").alias("srcip"), text("data.dstuser").alias("dstuser"),
+        _iso(F.col("alert_ts")).alias("timestamp"),
+        F.col("_event_id").alias("event_id"),
     )
 
 

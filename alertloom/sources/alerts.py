@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from alertloom.constants import SOURCE_TAG
-from alertloom.functions.columns import iso_timestamp
+from alertloom.functions.columns import iso_timestamp, once
 from alertloom.functions.normalize import has_numeric_level
 from alertloom.schemas import RAW_ALERT
 
@@ -38,11 +38,11 @@ def parse(lines: DataFrame) -> DataFrame:
     """
     value = F.btrim(F.make_valid_utf8(F.col("value")), F.lit(_WHITESPACE))
     kept = [c for c in lines.columns if c != "value"]
+    record = F.from_json("payload", _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     parsed = (
         lines.select(*kept, value.alias("payload"))
         .filter(F.col("payload") != "")
-        .withColumn("_a", F.from_json(
-            "payload", _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
+        .select(*kept, "payload", once(record).alias("_a"))
     )
     malformed = (
         ~F.col("payload").startswith("{") | F.col("_a").isNull() | F.col(f"_a.{_CORRUPT}").isNotNull()

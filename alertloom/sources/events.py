@@ -6,7 +6,7 @@ reproduce it. All rows of a table are used.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from alertloom.functions.columns import lookup
+from alertloom.functions.columns import lookup, once
 
 EVENT_RULE = {
     "error": "5710", "signup": "100300", "purchase": "100201", "click": "100200", "view": "530",
@@ -29,10 +29,18 @@ RUN_CLASSES = [
 ]
 # The test events are sparse, so correlation windows are stretched by this factor on them.
 WINDOW_SCALE = 360
+SPREAD = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Each is one small file that Spark reads in one task, so a table that feeds
+    heavy row-wise work is spread by its key when it has fewer splits than there are cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = {"events": "event_id", "documents": "doc_id"}.get(name)
+    cores = spark.sparkContext.defaultParallelism
+    if key and df.rdd.getNumPartitions() < min(cores, SPREAD):
+        df = df.repartition(min(cores, SPREAD), key)
+    return df
 
 
 def _text(column: Column) -> Column:
@@ -108,7 +116,7 @@ def raw_alerts(events: DataFrame) -> DataFrame:
 def alert_lines(events: DataFrame) -> DataFrame:
     """The same alerts as JSON text, as a feed would carry them."""
     alerts = raw_alerts(events).drop("_event_id")
-    return alerts.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in alerts.columns])).alias("value"))
+    return alerts.select(once(F.to_json(F.struct(*[F.col(f"`{c}`") for c in alerts.columns]))).alias("value"))
 
 
 def untidy_lines(events: DataFrame, documents: DataFrame) -> DataFrame:
@@ -127,7 +135,7 @@ def untidy_lines(events: DataFrame, documents: DataFrame) -> DataFrame:
         .when(F.col("_kind") == 4, F.lit(" \t "))
         .when(F.col("_kind") == 5, F.concat(F.lit("  "), F.col("_json"), F.lit("\t")))
         .otherwise(F.col("_json")))
-    lines = shaped.withColumn("_json", text).select(value.alias("value"))
+    lines = shaped.select("_kind", once(text).alias("_json")).select(value.alias("value"))
     return lines.unionByName(documents.select(F.col("text").alias("value")))
 
 
@@ -169,4 +177,4 @@ def firewall_lines(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "error", F.concat(F.lit("sshd: Failed password for user"), _text(F.col("user_id"))))
         .when(F.col("event_id") % 9 == 0, F.concat(head, F.lit(",request")))
         .otherwise(F.concat(head, ports)))
-    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), line.alias("value"))
+    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), once(line).alias("value"))
