@@ -5,12 +5,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def lookup(mapping: Mapping, key: Column, default=None) -> Column:
     """Value of ``key`` in a small fixed table, ``default`` where it is absent or null."""
-    value = None
-    for k, v in mapping.items():
-        value = F.when(key == F.lit(k), F.lit(v)) if value is None else value.when(key == F.lit(k), F.lit(v))
-    return value if default is None else value.otherwise(F.lit(default))
+    pairs = ", ".join(f"{_literal(k)}, {_literal(v)}" for k, v in mapping.items())
+    value = F.try_element_at(F.expr(f"map({pairs})"), key)
+    return value if default is None else F.coalesce(value, F.lit(default))
 
 
 def iso_timestamp(text: Column) -> Column:

@@ -21,15 +21,14 @@ def _iso(ts: Column) -> Column:
 def segments(windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """The time line cut wherever a run window starts or ends, with the runs active in each piece.
 
-    Pieces lie within one time bucket and have ``first``, the active run that comes first in
-    file order, and ``targeted``, the first active run per non-empty target in file order (as
+    Pieces lie within one time bucket and have ``first``, the place in the file of the active
+    run that comes first, and ``targeted``, the same per non-empty target, in file order (as
     many entries as machines under test at that moment). Windows include both their ends.
     """
     width = bucket_seconds * 1_000_000
-    run = F.struct("run_idx", "attack_class", "scenario_id", "run_id")
     active = (
         windows.select(
-            F.coalesce("target", F.lit("")).alias("target"), run.alias("run"),
+            F.coalesce("target", F.lit("")).alias("target"), "run_idx",
             micros(F.col("start_ts")).alias("start_us"), micros(F.col("end_ts")).alias("end_us"))
         .filter(F.col("start_us") <= F.col("end_us"))
         .withColumn("bucket", F.explode(F.sequence(F.expr(f"start_us div {width}"), F.expr(f"end_us div {width}"))))
@@ -45,10 +44,10 @@ def segments(windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFr
     held = pieces.join(active, "bucket").filter(F.col("from_us").between(F.col("start_us"), F.col("end_us")))
     piece = ["bucket", "from_us", "until_us"]
     return (
-        held.groupBy(*piece, "target").agg(F.min("run").alias("run"))
+        held.groupBy(*piece, "target").agg(F.min("run_idx").alias("run_idx"))
         .groupBy(*piece).agg(
-            F.min("run").alias("first"),
-            F.sort_array(F.collect_list(F.when(F.col("target") != "", F.struct("run", "target")))).alias("targeted"))
+            F.min("run_idx").alias("first"),
+            F.sort_array(F.collect_list(F.when(F.col("target") != "", F.struct("run_idx", "target")))).alias("targeted"))
     )
 
 
@@ -64,19 +63,20 @@ def label_alerts(alerts: DataFrame, windows: DataFrame, bucket_seconds: int = BU
     timed = alerts.withColumn("alert_ts", alert_time()).withColumn("_us", micros(F.col("alert_ts"))).withColumn(
         "_bucket", F.expr(f"_us div {bucket_seconds * 1_000_000}"))
     pieces = segments(windows, bucket_seconds)
+    runs = windows.select("run_idx", "attack_class", "scenario_id", "run_id")
     if estimated_bytes(windows) <= RUN_LOG_BROADCAST_BYTES:
-        pieces = F.broadcast(pieces)
+        pieces, runs = F.broadcast(pieces), F.broadcast(runs)
     met = timed.join(
         pieces, (F.col("_bucket") == F.col("bucket")) & F.col("_us").between(F.col("from_us"), F.col("until_us")))
     source = F.coalesce("data.srcip", F.lit(""))
     matching = F.filter("targeted", lambda t: source.contains(t["target"]))
-    run = F.coalesce(F.when(source != "", F.get(matching, 0)["run"]), F.col("first"))
+    chosen = F.coalesce(F.when(source != "", F.get(matching, 0)["run_idx"]), F.col("first"))
 
     def text(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(""))
 
-    return met.withColumn("run", run).select(
-        F.col("run.attack_class").alias("label"), "run.scenario_id", "run.run_id",
+    return met.withColumn("run_idx", chosen).join(runs, "run_idx").select(
+        F.col("attack_class").alias("label"), "scenario_id", "run_id",
         text("rule.id").alias("rule_id"), text("rule.level").alias("rule_level"),
         text("rule.description").alias("rule_description"),
         F.coalesce(F.array_join("rule.groups", "|"), F.lit("")).alias("rule_groups"),

@@ -13,6 +13,7 @@ def build_session(app: str = "alertloom", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.parquet.compression.codec": "lz4_raw",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. Each is one small file that Spark reads in one task, so a table that feeds
     heavy row-wise work is spread by its key when it has fewer splits than there are cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    key = {"events": "event_id", "documents": "doc_id"}.get(name)
+    key = {"events": "event_id", "documents": "doc_id", "customer": "c_custkey"}.get(name)
     cores = spark.sparkContext.defaultParallelism
     if key and df.rdd.getNumPartitions() < min(cores, SPREAD):
         df = df.repartition(min(cores, SPREAD), key)
