@@ -225,13 +225,16 @@ def get(incidents: DataFrame, incident_id) -> DataFrame:
 EDITABLE = ["status", "assigned_to", "analyst_notes"]
 
 
-def apply_edits(incidents: DataFrame, edits: DataFrame, as_of: Column) -> DataFrame:
+def apply_edits(incidents: DataFrame, edits: DataFrame, as_of: Column, order: Column | None = None) -> DataFrame:
     """The table after a batch of analyst edits (id and any of the editable columns).
 
-    Only values given change, and only rows with a given value get a new ``updated_at``.
+    Only values given change, and only rows with a given value get a new ``updated_at``. Of
+    several edits of one incident, the last given value in ``order`` stays, per column.
     """
     given = [c for c in EDITABLE if c in edits.columns]
-    asked = edits.filter(F.coalesce(*given).isNotNull()).select("id", *[F.col(c).alias(f"_{c}") for c in given])
+    place = order if order is not None else F.struct(*given)
+    asked = edits.filter(F.coalesce(*given).isNotNull()).groupBy("id").agg(*[
+        F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_{c}") for c in given])
     joined = incidents.join(asked.withColumn("_edited", F.lit(True)), "id", "left")
     columns = []
     for c in incidents.columns:

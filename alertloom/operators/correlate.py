@@ -7,13 +7,14 @@ threshold-th match of a session fires.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from alertloom.constants import CORRELATION_SOURCE_TAG
 from alertloom.functions.columns import lookup
 from alertloom.operators.distinct import fire_distinct
-from alertloom.operators.rules import Rule, fan_out
+from alertloom.operators.rules import Rule, fan_out, match_counts
 from alertloom.operators.skew import TARGET_ROWS, with_chunks
 
 KEYS = ["rule_id", "key"]
@@ -77,16 +78,19 @@ def fire_counter(hits: DataFrame, split: str = "auto", target_rows: int = TARGET
 
 def fire(alerts: DataFrame, rules: Sequence[Rule], split: str = "auto",
          target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Firings of all rules. Counter rules share one shuffle; so do the distinct rules."""
-    counters = [r for r in rules if r.member is None]
-    distinct = [r for r in rules if r.member is not None]
-    fired = None
+    """Firings of all rules. Counter rules share one shuffle, so do the distinct rules, and
+    rules with threshold 1 fire on every match without any."""
+    instant = [r for r in rules if r.threshold == 1]
+    counters = [r for r in rules if r.threshold > 1 and r.member is None]
+    distinct = [r for r in rules if r.threshold > 1 and r.member is not None]
+    parts = []
+    if instant:
+        parts.append(fan_out(alerts, instant).drop("member"))
     if counters:
-        fired = fire_counter(fan_out(alerts, counters).drop("member"), split, target_rows)
+        parts.append(fire_counter(fan_out(alerts, counters).drop("member"), split, target_rows))
     if distinct:
-        more = fire_distinct(fan_out(alerts, distinct), split, target_rows).drop("member")
-        fired = more if fired is None else fired.unionByName(more)
-    return fired
+        parts.append(fire_distinct(fan_out(alerts, distinct), split, target_rows).drop("member"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def build_incidents(fired: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -132,8 +136,6 @@ def open_counts(hits: DataFrame, as_of_us, split: str = "auto", target_rows: int
 
 def counters(alerts: DataFrame, rules: Sequence[Rule], fired: DataFrame) -> DataFrame:
     """Alerts matched and incidents fired per rule, zeros included."""
-    from alertloom.operators.rules import match_counts
-
     per_rule = fired.groupBy("rule_id").agg(F.count("*").alias("fired"))
     return (
         match_counts(alerts, rules).join(per_rule, "rule_id", "left")

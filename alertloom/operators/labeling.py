@@ -1,5 +1,9 @@
 """Ground-truth labels: alerts joined to the attack runs whose padded window holds them."""
 
+from collections.abc import Iterator
+from heapq import heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from alertloom.functions.columns import micros
@@ -18,37 +22,83 @@ def _iso(ts: Column) -> Column:
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
 
 
+_PIECE = ("bucket bigint, from_us bigint, until_us bigint, first bigint, "
+          "targeted array<struct<run_idx: bigint, target: string>>")
+
+
+def _sweep(width: int):
+    """Kernel: opening and closing marks of runs in time order to pieces of the time line."""
+    schema = pa.schema([
+        ("bucket", pa.int64()), ("from_us", pa.int64()), ("until_us", pa.int64()), ("first", pa.int64()),
+        ("targeted", pa.list_(pa.struct([("run_idx", pa.int64()), ("target", pa.string())])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, since = None, None
+        active: dict[str, list[int]] = {}  # target -> heap of runs
+        closed: set[int] = set()  # closed runs still inside a heap
+
+        def piece(until):
+            tops = []
+            for target in list(active):
+                heap = active[target]
+                while heap and heap[0] in closed:
+                    closed.discard(heappop(heap))
+                if heap:
+                    tops.append((heap[0], target))
+                else:
+                    del active[target]
+            if not tops:
+                return []
+            tops.sort()
+            return [{"bucket": bucket, "from_us": since, "until_us": until, "first": tops[0][0],
+                     "targeted": [{"run_idx": i, "target": t} for i, t in tops if t]}]
+
+        for batch in batches:
+            out = []
+            names = ("_start", "bucket", "at_us", "opens", "target", "run_idx")
+            for start, number, at, opens, target, idx in zip(*(batch.column(n).to_pylist() for n in names)):
+                if start:
+                    if bucket is not None:
+                        out += piece((bucket + 1) * width - 1)
+                    bucket, active, closed = number, {}, set()
+                elif at > since:
+                    out += piece(at - 1)
+                since = at
+                if opens:
+                    heappush(active.setdefault(target, []), idx)
+                else:
+                    closed.add(idx)
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=schema)
+        if bucket is not None and (last := piece((bucket + 1) * width - 1)):
+            yield pa.RecordBatch.from_pylist(last, schema=schema)
+
+    return run
+
+
 def segments(windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """The time line cut wherever a run window starts or ends, with the runs active in each piece.
 
     Pieces lie within one time bucket and have ``first``, the place in the file of the active
     run that comes first, and ``targeted``, the same per non-empty target, in file order (as
     many entries as machines under test at that moment). Windows include both their ends.
+    A bucket is swept once in time order, so overlapping runs are never paired.
     """
     width = bucket_seconds * 1_000_000
-    active = (
+    opening = F.col("bucket") * width
+    marks = (
         windows.select(
-            F.coalesce("target", F.lit("")).alias("target"), "run_idx",
+            F.coalesce("target", F.lit("")).alias("target"), F.col("run_idx").cast("long").alias("run_idx"),
             micros(F.col("start_ts")).alias("start_us"), micros(F.col("end_ts")).alias("end_us"))
         .filter(F.col("start_us") <= F.col("end_us"))
         .withColumn("bucket", F.explode(F.sequence(F.expr(f"start_us div {width}"), F.expr(f"end_us div {width}"))))
+        .select("bucket", "target", "run_idx", F.inline(F.array(
+            F.struct(F.greatest("start_us", opening).alias("at_us"), F.lit(True).alias("opens")),
+            F.struct((F.col("end_us") + 1).alias("at_us"), F.lit(False).alias("opens")))))
+        .filter(F.expr(f"at_us div {width}") == F.col("bucket"))
     )
-    opening = F.col("bucket") * width
-    cuts = (
-        active.select("bucket", F.explode(F.array(
-            F.greatest("start_us", opening), F.col("end_us") + 1)).alias("from_us"))
-        .filter(F.expr(f"from_us div {width}") == F.col("bucket")).distinct()
-    )
-    until = F.lead("from_us").over(Window.partitionBy("bucket").orderBy("from_us")) - 1
-    pieces = cuts.withColumn("until_us", F.coalesce(until, opening + (width - 1)))
-    held = pieces.join(active, "bucket").filter(F.col("from_us").between(F.col("start_us"), F.col("end_us")))
-    piece = ["bucket", "from_us", "until_us"]
-    return (
-        held.groupBy(*piece, "target").agg(F.min("run_idx").alias("run_idx"))
-        .groupBy(*piece).agg(
-            F.min("run_idx").alias("first"),
-            F.sort_array(F.collect_list(F.when(F.col("target") != "", F.struct("run_idx", "target")))).alias("targeted"))
-    )
+    order = Window.partitionBy("bucket").orderBy("at_us", F.desc("opens"), "run_idx")
+    return marks.withColumn("_start", F.lag("at_us").over(order).isNull()).mapInArrow(_sweep(width), _PIECE)
 
 
 def label_alerts(alerts: DataFrame, windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:

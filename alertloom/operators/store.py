@@ -113,13 +113,30 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def current_incidents(spark: SparkSession, path: str) -> DataFrame:
+def _fold_log(log: DataFrame) -> DataFrame:
+    ordered = log.withColumn("_order", F.struct("batch_id", "_seq")).drop("batch_id", "_seq")
+    return fold_upserts(ordered, F.col("_order"))
+
+
+def current_incidents(spark: SparkSession, path: str, snapshot: str | None = None,
+                      after: int | None = None) -> DataFrame:
     """The incidents table as the fold of every batch appended so far.
 
-    Rows carry their place in the batch as ``_seq``; a retried batch folds the same.
+    Rows carry their place in the batch as ``_seq``; a retried batch folds the same. With a
+    ``snapshot`` of the table up to batch ``after``, only the batches behind it are read.
     """
-    log = spark.read.parquet(path).withColumn("_order", F.struct("batch_id", "_seq")).drop("batch_id", "_seq")
-    return fold_upserts(log, F.col("_order"))
+    log = spark.read.parquet(path)
+    if snapshot is None:
+        return _fold_log(log)
+    base = read_incidents(spark, snapshot).drop("created_date")
+    return upsert(base, _fold_log(log.filter(F.col("batch_id") > after)).select(*base.columns))
+
+
+def compact(spark: SparkSession, path: str, snapshot: str) -> int:
+    """Write a snapshot of the table and return the last batch it holds."""
+    last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    write_incidents(_fold_log(spark.read.parquet(path).filter(F.col("batch_id") <= last)), snapshot)
+    return last
 
 
 def write_incidents(rows: DataFrame, path: str) -> None:

@@ -102,6 +102,16 @@ def test_batch_log_is_idempotent(spark, tmp_path):
     check_merged(got[f"{1:032d}"])
 
 
+def test_snapshot_and_newer_batches(spark, tmp_path):
+    path, snapshot = str(tmp_path / "log"), str(tmp_path / "snapshot")
+    store.append_batch(table(spark, row(1, source_ips=None), row(2)).withColumn("_seq", F.lit(0)), path, 0)
+    after = store.compact(spark, path, snapshot)
+    store.append_batch(table(spark, row(1, **SECOND), row(3)).withColumn("_seq", F.lit(0)), path, 1)
+    got = {r["id"]: r for r in store.current_incidents(spark, path, snapshot, after).collect()}
+    assert after == 0 and len(got) == 3
+    check_merged(got[f"{1:032d}"])
+
+
 def test_features(spark):
     rows = features(scored(
         spark,
@@ -178,6 +188,11 @@ def test_edits(spark):
         "id string, status string, analyst_notes string")
     got = {int(r["id"]): r for r in g.apply_edits(rows, edits, F.lit(LATER)).collect()}
     assert (got[1]["status"], got[1]["updated_at"], got[2]["status"], got[2]["updated_at"]) == ("closed", LATER, "open", T0)
+    twice = spark.createDataFrame(
+        [(f"{1:032d}", "closed", None, 1), (f"{1:032d}", None, "note", 2), (f"{1:032d}", "open", None, 0)],
+        "id string, status string, analyst_notes string, n int")
+    merged = g.apply_edits(rows, twice, F.lit(LATER), F.col("n")).filter(f"id = '{1:032d}'").collect()
+    assert [(m["status"], m["analyst_notes"]) for m in merged] == [("closed", "note")]
     assert {r["reason"] for r in g.refused_edits(rows, edits).collect()} == {"no field to update", "incident not found"}
 
 
