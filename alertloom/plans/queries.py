@@ -670,3 +670,17 @@ def ml_grid(spark, sf_dir):
         chosen = {param.name: value for param, value in grid.items()}
         scores.append((chosen["maxDepth"], chosen["numTrees"], float(score)))
     return spark.createDataFrame(scores, "max_depth int, trees int, macro_f1 double")
+
+
+@query
+def ml_report(spark, sf_dir):
+    """Classification report, on the test runs, of a forest trained on the training runs."""
+    rows = evaluate.encode(d.labelled(spark, sf_dir)).withColumn("digest", F.md5("event_id"))
+    parts, _ = evaluate.split(rows, "digest")
+    inputs = [f"{c}_enc" for c in evaluate.CATEGORICAL] + ["rule_level"]
+    model = classifier.train(parts.filter("split = 'train'"), inputs=inputs)
+    names = classifier.classes(model)
+    guessed = classifier.predict(model, parts.filter("split = 'test'"))
+    every = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("label"))
+    return evaluate.classification_report(
+        guessed.select("label", F.col("attack_class").alias("prediction")), every)

@@ -86,3 +86,7 @@ ATTACK_MATRIX = T.StructType([
     T.StructField("command_template", _S), T.StructField("target", _S),
     T.StructField("repetitions", T.IntegerType()),
     T.StructField("expected_wazuh_rule_id", _S), T.StructField("notes", _S)])
+
+LABELLED = _strings(
+    "label", "scenario_id", "run_id", "rule_id", "rule_level", "rule_description", "rule_groups",
+    "agent_id", "agent_name", "srcip", "dstuser", "timestamp", "event_id")

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alertloom.constants import ASSETS, RETENTION_DAYS
 from alertloom.functions.columns import iso_timestamp, literal_table
-from alertloom.schemas import ASSET, ATTACK_MATRIX, RUN_LOG
+from alertloom.schemas import ASSET, ATTACK_MATRIX, LABELLED, RUN_LOG
 
 
 def seed_assets(spark: SparkSession) -> DataFrame:
@@ -64,3 +64,7 @@ def write_labelled(df: DataFrame, path: str) -> bool:
         return False
     df.write.mode("overwrite").option("header", True).csv(path)
     return True
+
+
+def read_labelled(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LABELLED).option("header", True).csv(path)

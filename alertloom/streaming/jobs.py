@@ -12,9 +12,26 @@ from alertloom.schemas import INCIDENT, SCORED_INCIDENT
 from alertloom.sources import alerts as feed
 
 
+def observed(parsed: DataFrame) -> DataFrame:
+    """Parsed lines with counts of lines and errors in the progress of the query."""
+    return parsed.observe("feed", F.count(F.lit(1)).alias("lines"), F.count("_error").alias("errors"))
+
+
 def enriched_stream(lines: DataFrame, assets: DataFrame) -> DataFrame:
     """Alert lines to enriched alerts: map-only, one query."""
-    return enrich(normalize(feed.ingest(lines)), assets)
+    return enrich(normalize(feed.stamp(feed.good(observed(feed.parse(lines))))), assets)
+
+
+def ingest_stream(lines: DataFrame, checkpoint: str, alerts: str, dead: str) -> DataStreamWriter:
+    """Good alerts into one table and dead letters into another, both replaced by a retry."""
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        store.append_batch(feed.stamp(feed.good(batch)), alerts, batch_id)
+        store.append_batch(feed.dead_letters(batch), dead, batch_id)
+        batch.unpersist()
+
+    return observed(feed.parse(lines)).writeStream.option("checkpointLocation", checkpoint).foreachBatch(land)
 
 
 def decode(messages: DataFrame, schema: StructType) -> DataFrame:
@@ -89,10 +106,13 @@ def to_table(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
 
 
 def counters(query: StreamingQuery) -> dict[str, int]:
-    """Rows read, written and dropped as late over the recorded progress of a query."""
-    total = {"input": 0, "late": 0}
+    """Rows read, lines and errors of the feed, and rows dropped as late, over the recorded
+    progress of a query."""
+    total = {"input": 0, "late": 0, "lines": 0, "errors": 0}
     for p in query.recentProgress:
-        total["input"] += p["numInputRows"]
-        for op in p["stateOperators"]:
-            total["late"] += op["numRowsDroppedByWatermark"]
+        total["input"] += p.numInputRows
+        total["late"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        if "feed" in p.observedMetrics:
+            total["lines"] += p.observedMetrics["feed"]["lines"]
+            total["errors"] += p.observedMetrics["feed"]["errors"]
     return total

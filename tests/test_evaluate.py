@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from alertloom.operators import evaluate as ev, labeling
 from alertloom.schemas import RAW_ALERT
-from alertloom.sources.tables import run_windows, write_labelled
+from alertloom.sources.tables import read_labelled, run_windows, write_labelled
 
 BASE = dt.datetime(2026, 7, 16, 11, 0, tzinfo=dt.timezone.utc)
 RUN_SCHEMA = "scenario_id string, attack_class string, tool_cmd string, target string, start_time_utc string, end_time_utc string, run_note string, run_idx bigint"
@@ -70,7 +70,7 @@ def test_identical_alerts_are_all_labelled(spark):
 
 def test_labelled_csv(spark, tmp_path):
     df = labeling.label_alerts(alerts(spark, [(105, "x"), (900, "x")]), run_windows(runs(spark, [(100, 110, "")])))
-    assert write_labelled(df, str(tmp_path / "out")) and spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 1
+    assert write_labelled(df, str(tmp_path / "out")) and read_labelled(spark, str(tmp_path / "out")).first()["label"] == "c0"
     assert not write_labelled(df.limit(0), str(tmp_path / "none")) and not (tmp_path / "none").exists()
 
 
@@ -143,3 +143,16 @@ def test_small_grid_search(spark):
     search, names = ev.grid_search(rows, ["x"], "digest", depths=(1, 4), trees=(5,), parallelism=2)
     assert names == ["a", "b", "c"] and len(search.avgMetrics) == 2
     assert max(search.avgMetrics) == pytest.approx(1.0)
+
+
+def test_model_on_the_test_split(spark, tmp_path):
+    rows = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").otherwise("c").alias("label"),
+        (F.col("id") % 3 * 2 + F.col("id") % 2).alias("x"), F.md5(F.col("id").cast("string")).alias("digest"))
+    search, names = ev.grid_search(rows, ["x"], "digest", depths=(4,), trees=(5,), parallelism=1)
+    ev.save_best(search, str(tmp_path / "best"))
+    got = ev.test_predictions(search.bestModel, names, rows, ["x"])
+    assert got.filter("label = prediction").count() == 300
+    top = ev.calibration(got.withColumn("prob", F.col("probabilities")["a"])).collect()
+    assert sum(r["n"] for r in top) == 300
+    assert (tmp_path / "best" / "metadata").exists()

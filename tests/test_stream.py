@@ -126,3 +126,15 @@ def test_store_batch_tries_every_sink_and_fails(spark, tmp_path):
     from alertloom.operators.store import current_incidents
 
     assert current_incidents(spark, str(tmp_path / "table")).count() == n
+
+
+def test_ingest_job_keeps_dead_letters_and_counts(spark, tmp_path):
+    land(tmp_path / "landing", "a.json", lines()[:20] + ["", "{broken", '{"rule":{"level":"high"}}'])
+    writer = jobs.ingest_stream(
+        feed.follow_lines(spark, str(tmp_path / "landing")), str(tmp_path / "checkpoint"),
+        str(tmp_path / "alerts"), str(tmp_path / "dead"))
+    query = jobs.run_available(writer)
+    assert spark.read.parquet(str(tmp_path / "alerts")).count() == 20
+    assert sorted(r["_error"] for r in spark.read.parquet(str(tmp_path / "dead")).collect()) == ["level", "malformed"]
+    counted = jobs.counters(query)
+    assert (counted["input"], counted["lines"], counted["errors"]) == (23, 22, 2)
