@@ -56,12 +56,13 @@ def score_stream(incidents: DataFrame, model: PipelineModel) -> DataFrame:
 def store_batch(scored: DataFrame, batch_id: int, table: str, docs: str, rejects: str) -> None:
     """Write one micro-batch to the table log, the document log and the rejects.
 
-    Every sink is tried, and each replaces what an earlier attempt of the same batch left. If
+    Within a batch, rows of one id are ordered by their time, so a retry writes the same. Every
+    sink is tried, and each replaces what an earlier attempt of the same batch left. If
     any failed the batch fails, so the checkpoint makes Spark run it again.
     """
-    sequenced = scored.withColumn("_seq", F.monotonically_increasing_id()).persist()
-    rows = store.store_rows(sequenced).withColumn("_seq", F.col("created_at"))
-    documents = store.documents(sequenced, F.col("_seq")).withColumn("_seq", F.lit(0))
+    scored = scored.persist()
+    rows = store.store_rows(scored).withColumn("_seq", F.col("created_at"))
+    documents = store.documents(scored, F.col("`@timestamp`")).withColumn("_seq", F.lit(0))
     failures = []
     for name, write in (
         ("table", lambda: store.append_batch(store.accepted(rows), table, batch_id)),
@@ -72,7 +73,7 @@ def store_batch(scored: DataFrame, batch_id: int, table: str, docs: str, rejects
             write()
         except Exception as e:
             failures.append(f"{name}: {e}")
-    sequenced.unpersist()
+    scored.unpersist()
     if failures:
         raise RuntimeError("; ".join(failures))
 
