@@ -4,15 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alertloom.llm import chat, exact_dedup, secret_scan
+from alertloom.llm import bpe, chat, exact_dedup, packing, secret_scan, token_store
 from alertloom.llm.shared import stored, table, text_of
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.token_index(table(spark, sf_dir, "documents"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode_documents(bpe.encode_documents(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -45,7 +59,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_output": op2_token_output,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op9_chat_format": op9_chat_format,
 }

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -65,3 +69,12 @@ def file_system(uri: str):
     if "://" in uri or uri.startswith("file:"):
         return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
     return fs.LocalFileSystem(), uri
+
+
+def once(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python process. The functions of this library travel to the workers by value, each task
+    with its own copy, so that a cache of the module would not outlive the task."""
+    kept = vars(sys.modules.setdefault("_alertloom_once", types.ModuleType("_alertloom_once")))
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
