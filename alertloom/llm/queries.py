@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alertloom.llm import bpe, chat, exact_dedup, packing, secret_scan, token_store
+from alertloom.llm import bpe, chat, exact_dedup, fingerprint, packing, secret_scan, token_store
 from alertloom.llm.shared import stored, table, text_of
 
 
@@ -58,6 +58,14 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprint.edited_documents(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint.encoded("anchors").alias("fingerprint"),
+        fingerprint.encoded("edited_anchors").alias("edited_fingerprint"), fingerprint.likeness("anchors", "edited_anchors").alias("near_edited"),
+        fingerprint.likeness("anchors", "next_anchors").alias("near_next"))
+
+
 QUERIES = {
     "op2_token_output": op2_token_output,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -65,4 +73,5 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op9_chat_format": op9_chat_format,
+    "op10_fingerprints": op10_fingerprints,
 }
