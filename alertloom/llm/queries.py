@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alertloom.llm import bpe, chat, exact_dedup, fingerprint, packing, secret_scan, token_store
+from alertloom.llm import bpe, chat, exact_dedup, fingerprint, near_dedup, packing, secret_scan, token_store
 from alertloom.llm.shared import stored, table, text_of
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, share=(85, 100))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_index(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_output": op2_token_output,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,

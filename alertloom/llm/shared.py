@@ -45,20 +45,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str = "left", salts: int = 64) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str = "left", salts: int = 64,
+                counts: DataFrame | None = None) -> DataFrame:
     """``left`` joined to ``right``, which has one row a ``key``, however often a key is in ``left``.
 
     A key with a thousandth of the rows of ``left`` or more is hot; there are at most a thousand, so their
     list may be broadcast. Rows of a hot key are dealt by ``spread`` over ``salts`` copies of its row on the right.
+    ``counts`` has the keys' numbers of rows as ``_n``, if they are known; keys that it leaves out aren't hot.
     """
-    counts = left.groupBy(key).agg(F.count("*").alias("_n"))
-    total = left.agg(F.count("*").alias("_all"))
-    hot = counts.join(F.broadcast(total), F.col("_n") * HOT_SHARE >= F.col("_all")).select(key, F.lit(salts).alias("_salts"))
-    hot = stored(hot.filter(F.col("_salts") > 1).filter(F.col(key).isNotNull()), "hot")
-    one = F.coalesce(F.col("_salts"), F.lit(1))
+    if counts is None:
+        counts = left.groupBy(key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_all"))
+    hot = counts.join(F.broadcast(total), F.col("_n") * HOT_SHARE >= F.col("_all")).filter(F.col("_n") >= salts)
+    hot = stored(hot.filter(F.col(key).isNotNull()).select(key, F.lit(salts).alias("_salts")), "hot")
+    one = F.coalesce(F.col("_salts"), F.lit(1)).cast("long")
     left = left.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), one)).drop("_salts")
     right = right.join(F.broadcast(hot), key, "left")
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), one.cast("long") - 1))).drop("_salts")
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), one - 1))).drop("_salts")
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
