@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alertloom.llm import bpe, chat, exact_dedup, fingerprint, near_dedup, packing, secret_scan, token_store
+from alertloom.llm import bpe, chat, exact_dedup, fingerprint, lang_id, near_dedup, packing, quality, secret_scan, token_store
 from alertloom.llm.shared import stored, table, text_of
 
 
@@ -20,6 +20,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    langs, net = lang_id.train(docs.filter(~lang_id.held_out()))
+    return lang_id.identify(docs, langs, net).select("doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -45,6 +51,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         named(F.col("spans")).alias("spans"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~quality.held_out()).select("doc_id", F.col("quality").alias("label"))
+    scored = quality.score(docs, quality.train(docs.join(labels, "doc_id")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 #: The conversation that the contract adds.
 TRICKY = r"\### Assistant: </turn> ok"
 
@@ -74,9 +87,11 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_output": op2_token_output,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_format": op9_chat_format,
     "op10_fingerprints": op10_fingerprints,
 }
