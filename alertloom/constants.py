@@ -115,3 +115,29 @@ RULE_ATTACK_CLASS = {
     "5712": "brute_force",
     "100210": "brute_force",
 }
+
+CORRELATION_RULES = [
+    # id, name, description, window in seconds, threshold, severity, key prefix
+    ("CORR-001", "Brute Force Detection",
+     "Multiple authentication failures from the same source IP within a short window", 60, 5, "high", "brute_force"),
+    ("CORR-002", "Privilege Escalation Burst",
+     "Repeated privilege-related high severity alerts from the same host", 120, 3, "critical", "priv_esc"),
+    ("CORR-003", "Lateral Movement",
+     "Same source IP triggering alerts on multiple distinct destination hosts", 300, 3, "critical", "lateral"),
+    ("CORR-004", "Alert Storm",
+     "Abnormally high volume of alerts from a single agent — possible misconfiguration or active attack",
+     60, 20, "medium", "alert_storm"),
+    ("CORR-005", "Repeated High Severity",
+     "Multiple high or critical severity alerts from the same host in a short period", 180, 3, "high", "high_sev"),
+    ("CORR-006", "Reconnaissance/ port scan",
+     "pfsense port scan confirmed by wazuh frequency correlation (rule 100201)", 30, 1, "high", "recon"),
+]
+
+# Detections by rule id: level, MITRE technique, groups, description.
+DETECTIONS = {
+    "100200": (3, None, ["firewall", "pfsense"], "pfSense: firewall filter log event (%s %s %s:%s -> %s:%s)"),
+    "100201": (10, "T1046", ["recon", "port_scan", "pfsense"], "pfSense: Possible port scan - %s hit {count}+ distinct ports in {seconds}s"),
+    "100210": (10, "T1110", ["authentication_failures", "brute_force"], "SSH brute force: {count}+ failed logins from %s in {seconds}s"),
+    "100300": (10, "T1078", ["privilege_escalation", "windows_security"],
+               "Windows: special privileges assigned to new logon (SeDebugPrivilege/SeTakeOwnershipPrivilege) - possible privilege escalation"),
+}

@@ -1,5 +1,6 @@
 """Analyst queries over the incidents table. ``as_of`` stands for the time of the request."""
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -125,6 +126,11 @@ def confidence_histogram(incidents: DataFrame) -> DataFrame:
     )
 
 
+def _containing(text: str) -> str:
+    """A pattern for texts that contain ``text``, in which ``%`` and ``_`` stay wildcards and a backslash is a character."""
+    return "%" + text.replace("\\", "\\\\") + "%"
+
+
 @dataclass(frozen=True)
 class Filters:
     """Conditions of the incident list; empty text and None are off, severity 0 is on."""
@@ -141,11 +147,11 @@ class Filters:
         if self.status:
             on = on & (F.col("status") == self.status)
         if self.category:
-            on = on & F.col("category").ilike(f"%{self.category}%")
+            on = on & F.col("category").ilike(_containing(self.category))
         if self.search:
-            pattern = f"%{self.search}%"
+            pattern = _containing(self.search)
             on = on & (
-                F.to_json("raw_incident").ilike(pattern)
+                F.to_json("raw_incident").ilike(_containing(json.dumps(self.search, ensure_ascii=False)[1:-1]))
                 | F.col("category").ilike(pattern)
                 | F.coalesce(F.exists("target_hosts", lambda h: h.ilike(pattern)), F.lit(False))
             )
@@ -195,14 +201,24 @@ def list_incidents(incidents: DataFrame, filters: Filters = Filters(), page: int
     return with_severity_labels(rows.limit(per_page).select(*_LIST, *_paths()))
 
 
-def next_page(incidents: DataFrame, last_created_at, last_id: str, filters: Filters = Filters(),
-              per_page: int = 20) -> DataFrame:
-    """The page after a given row of the newest-first list; its cost does not grow with depth."""
+def next_page(incidents: DataFrame, last_value, last_id: str, filters: Filters = Filters(), per_page: int = 20,
+              sort: str = "created_at", order: str = "desc") -> DataFrame:
+    """The page after the row with ``last_id`` and ``last_value`` in the column sorted by; its cost does not grow with depth.
+
+    Nulls come first in descending order and last in ascending order, as in the list itself.
+    """
     _page(per_page, 1)
-    created = F.col("created_at")
-    beyond = (created < F.lit(last_created_at)) | (
-        (created == F.lit(last_created_at)) & (F.col("id") > F.lit(last_id)))
-    return list_incidents(incidents.filter(beyond), filters, 1, per_page)
+    column = F.col(sort if sort in SORTS else "created_at")
+    tied = F.col("id") > F.lit(last_id)
+    if last_value is None:
+        beyond = column.isNull() & tied
+        if order != "asc":
+            beyond = beyond | column.isNotNull()
+    else:
+        last = F.lit(last_value)
+        ahead = (column > last) | column.isNull() if order == "asc" else column < last
+        beyond = ahead | ((column == last) & tied)
+    return list_incidents(incidents.filter(beyond), filters, 1, per_page, sort, order)
 
 
 def page_meta(incidents: DataFrame, filters: Filters = Filters(), page: int = 1, per_page: int = 20) -> DataFrame:
@@ -212,8 +228,25 @@ def page_meta(incidents: DataFrame, filters: Filters = Filters(), page: int = 1,
         F.expr(f"(total + {per_page - 1}) div {per_page}").alias("pages"))
 
 
+def newest_days(incidents: DataFrame, rows: int) -> DataFrame:
+    """The days from which the newest ``rows`` incidents come, of a table partitioned by ``created_date``; other tables whole.
+
+    The days are counted on the partition column alone, and ``rows`` of them are read at most, as none is empty.
+    """
+    if "created_date" not in incidents.columns:
+        return incidents
+    counts = incidents.filter("created_date is not null").groupBy("created_date").agg(_count().alias("n"))
+    seen, first = 0, None
+    for day in counts.orderBy(F.desc("created_date")).limit(rows).collect():
+        seen, first = seen + day["n"], day["created_date"]
+        if seen >= rows:
+            return incidents.filter((F.col("created_date") >= F.lit(first)) | F.col("created_date").isNull())
+    return incidents
+
+
 def recent(incidents: DataFrame, limit: int = 10) -> DataFrame:
-    newest = incidents.orderBy(*_order("created_at", "desc")).limit(_bounded(limit))
+    rows = newest_days(incidents, _bounded(limit))
+    newest = rows.orderBy(*_order("created_at", "desc")).limit(_bounded(limit))
     return with_severity_labels(newest.select(*_RECENT, *_paths()))
 
 

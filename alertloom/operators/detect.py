@@ -2,40 +2,75 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from alertloom.constants import RULE_ATTACK_CLASS
-from alertloom.functions.columns import lookup
+from alertloom.constants import DETECTIONS, RULE_ATTACK_CLASS
+from alertloom.functions.columns import lookup, once
 from alertloom.operators.skew import TARGET_ROWS, with_chunks
 
-_FIELDS = {
-    "interface": 5, "reason": 6, "action": 7, "protocol_id": 16, "protocol": 17,
-    "srcip": 19, "dstip": 20, "srcport": 21, "dstport": 22,
-}
-_NUMERIC = {1, 9, 12, 16, 18, 21, 22}
-_PRESENT = {4, 5, 6, 7, 8, 17, 19, 20}
-# Leading fields of a line with ports; what follows the destination port does not matter.
-_LINE = r"^filterlog(?:\[\d+\])?:\s*" + ",".join(
-    r"\d+" if p in _NUMERIC else r"[^,\s]+" if p in _PRESENT else r"[^,\s]*" for p in range(1, 23))
+# What may stand at each of the leading places of a line, in order: the name of the field, if it is kept, and its form.
+_NUMBER, _PRESENT, _ANY = r"\d+", r"[^,\s]+", r"[^,\s]*"
+_PLACES = [
+    (None, _NUMBER),  # rule
+    (None, _ANY),  # sub-rule
+    (None, _ANY),  # anchor
+    (None, _PRESENT),  # tracker
+    ("interface", _PRESENT),
+    ("reason", _PRESENT),
+    ("action", _PRESENT),
+    (None, _PRESENT),  # direction
+    (None, _NUMBER),  # IP version
+    (None, _ANY),  # type of service
+    (None, _ANY),  # congestion
+    (None, _NUMBER),  # time to live
+    (None, _ANY),  # packet id
+    (None, _ANY),  # offset
+    (None, _ANY),  # flags
+    ("protocol_id", _NUMBER),
+    ("protocol", _PRESENT),
+    (None, _NUMBER),  # length
+    ("srcip", _PRESENT),
+    ("dstip", _PRESENT),
+    ("srcport", _NUMBER),
+    ("dstport", _NUMBER),  # what follows doesn't matter
+]
+# The program's name alone, or after a syslog header of the old form, of the new form, or of an ISO time and a host.
+_PROGRAM = r"filterlog(?:\[\d+\])?:\s*"
+_HEADS = [
+    _PROGRAM,
+    r"(?:<\d{1,3}>)?[A-Z][a-z]{2}\s+\d{1,2}\s\d\d:\d\d:\d\d\s+(?:\S+\s+)?" + _PROGRAM,
+    r"(?:<\d{1,3}>)?\d{4}-\d\d-\d\dT\S+\s+(?:\S+\s+)?" + _PROGRAM,
+    r"<\d{1,3}>\d{1,2}\s\S+\s\S+\sfilterlog\s\S+\s\S+\s(?:-|\[[^\]]*\])\s*",
+]
+_LINE = "^(?:" + "|".join(_HEADS) + ")(" + ",".join(form for _, form in _PLACES) + ")"
 
 
 def parse_firewall(lines: DataFrame) -> DataFrame:
-    """Firewall events of log lines: the named fields by position. Lines of other programs,
+    """Firewall events of log lines, with or without a syslog header: the named fields by position. Lines of other programs,
     and of protocols without ports, are left out."""
     kept = [c for c in lines.columns if c != "value"]
-    fields = F.split(F.regexp_extract("value", _LINE, 0), ",")
+    fields = F.split(F.regexp_extract("value", _LINE, 1), ",")
     return (
-        lines.filter(F.col("value").startswith("filterlog") & F.col("value").rlike(_LINE))
-        .select(*kept, fields.alias("_f"))
-        .select(*kept, *[F.get("_f", position - 1).alias(name) for name, position in _FIELDS.items()])
+        lines.filter(F.col("value").contains("filterlog"))
+        .select(*kept, once(fields).alias("_f"))
+        .filter(F.size("_f") == len(_PLACES))
+        .select(*kept, *[F.get("_f", i).alias(name) for i, (name, _) in enumerate(_PLACES) if name])
+    )
+
+
+def detected(rows: DataFrame, rule_id: str, *named: str, **numbers: int) -> DataFrame:
+    """``rows`` as alerts of a detection; its text names the columns ``named`` and the numbers of its rule."""
+    level, mitre, groups, text = DETECTIONS[rule_id]
+    text = text.format(**numbers) if numbers else text
+    return (
+        rows.withColumn("rule_id", F.lit(rule_id)).withColumn("level", F.lit(level))
+        .withColumn("description", F.format_string(text, *named) if named else F.lit(text))
+        .withColumn("mitre", F.lit(mitre).cast("string"))
+        .withColumn("groups", F.array(*map(F.lit, groups)))
     )
 
 
 def firewall_alerts(events: DataFrame) -> DataFrame:
     """The base alert of every parsed firewall event."""
-    text = F.format_string(
-        "pfSense: firewall filter log event (%s %s %s:%s -> %s:%s)",
-        "action", "protocol", "srcip", "srcport", "dstip", "dstport")
-    return events.withColumn("rule_id", F.lit("100200")).withColumn("level", F.lit(3)).withColumn(
-        "description", text).withColumn("groups", F.array(F.lit("firewall"), F.lit("pfsense")))
+    return detected(events, "100200", "action", "protocol", "srcip", "srcport", "dstip", "dstport").drop("mitre")
 
 
 def trailing_count(events: DataFrame, key: str, seconds: int, count: int, split: str = "auto",
@@ -76,30 +111,18 @@ def _preceding(rows: DataFrame, key: str, n: int) -> DataFrame:
     )
 
 
-def ssh_brute_force(alerts: DataFrame, split: str = "auto", target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Six failed SSH logins of one source within 60 seconds. ``alerts`` has rule_id, srcip,
+def ssh_brute_force(alerts: DataFrame, split: str = "auto", target_rows: int = TARGET_ROWS, seconds: int = 60,
+                    count: int = 6) -> DataFrame:
+    """``count`` failed SSH logins of one source within ``seconds``. ``alerts`` has rule_id, srcip,
     ts_us and event_id."""
     failed = alerts.filter((F.col("rule_id") == "5710") & F.col("srcip").isNotNull())
-    return (
-        trailing_count(failed, "srcip", 60, 6, split, target_rows)
-        .withColumn("rule_id", F.lit("100210")).withColumn("level", F.lit(10))
-        .withColumn("description", F.format_string("SSH brute force: 6+ failed logins from %s in 60s", "srcip"))
-        .withColumn("mitre", F.lit("T1110"))
-        .withColumn("groups", F.array(F.lit("authentication_failures"), F.lit("brute_force")))
-    )
+    found = trailing_count(failed, "srcip", seconds, count, split, target_rows)
+    return detected(found, "100210", "srcip", count=count, seconds=seconds)
 
 
 def windows_privilege_logon(logs: DataFrame) -> DataFrame:
     """Special privileges given to a new Windows logon. ``logs`` has parent_id and win_event_id."""
-    return (
-        logs.filter((F.col("parent_id") == "60001") & (F.col("win_event_id") == "4672"))
-        .withColumn("rule_id", F.lit("100300")).withColumn("level", F.lit(10))
-        .withColumn("description", F.lit(
-            "Windows: special privileges assigned to new logon (SeDebugPrivilege/SeTakeOwnershipPrivilege)"
-            " - possible privilege escalation"))
-        .withColumn("mitre", F.lit("T1078"))
-        .withColumn("groups", F.array(F.lit("privilege_escalation"), F.lit("windows_security")))
-    )
+    return detected(logs.filter((F.col("parent_id") == "60001") & (F.col("win_event_id") == "4672")), "100300")
 
 
 def rule_attack_class(rule_id: Column) -> Column:

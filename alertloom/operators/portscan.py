@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from alertloom.operators.detect import detected
 from alertloom.operators.skew import TARGET_ROWS, with_chunks
 
 CHUNK = ["srcip", "chunk"]
@@ -203,11 +204,5 @@ def port_scans(events: DataFrame, seconds: int = 30, ports: int = 10, ignore_sec
     """
     blocked = events.filter(F.col("action") == "block")
     dense = distinct_ports(blocked, seconds, ports, split, target_rows)
-    return (
-        first_of_quiet(dense, ignore_seconds, split, target_rows)
-        .withColumn("rule_id", F.lit("100201")).withColumn("level", F.lit(10))
-        .withColumn("description", F.format_string(
-            "pfSense: Possible port scan - %s hit 10+ distinct ports in 30s", "srcip"))
-        .withColumn("mitre", F.lit("T1046"))
-        .withColumn("groups", F.array(F.lit("recon"), F.lit("port_scan"), F.lit("pfsense")))
-    )
+    found = first_of_quiet(dense, ignore_seconds, split, target_rows)
+    return detected(found, "100201", "srcip", count=ports, seconds=seconds)

@@ -5,7 +5,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from alertloom.constants import BRUTE_FORCE_RULE_IDS, PORT_SCAN_RULE_ID, PRIVILEGE_MARKERS
+from alertloom.constants import BRUTE_FORCE_RULE_IDS, CORRELATION_RULES, PORT_SCAN_RULE_ID, PRIVILEGE_MARKERS
 from alertloom.functions.columns import micros
 
 
@@ -48,33 +48,20 @@ def _host() -> Column:
     return F.col("host.name")
 
 
-RULES: tuple[Rule, ...] = (
-    Rule("CORR-001", "Brute Force Detection",
-         "Multiple authentication failures from the same source IP within a short window",
-         60, 5, "high",
-         lambda: F.col("rule.id").isin(*BRUTE_FORCE_RULE_IDS)
-         | _category_has("authentication_failed", "brute_force"),
-         "brute_force", _source),
-    Rule("CORR-002", "Privilege Escalation Burst",
-         "Repeated privilege-related high severity alerts from the same host",
-         120, 3, "critical",
-         lambda: _severity_in("high", "critical") & _category_has(*PRIVILEGE_MARKERS),
-         "priv_esc", _host),
-    Rule("CORR-003", "Lateral Movement",
-         "Same source IP triggering alerts on multiple distinct destination hosts",
-         300, 3, "critical",
-         lambda: (_source() != "unknown") & _severity_in("medium", "high", "critical"),
-         "lateral", _source, _host),
-    Rule("CORR-004", "Alert Storm",
-         "Abnormally high volume of alerts from a single agent — possible misconfiguration or active attack",
-         60, 20, "medium", lambda: F.lit(True), "alert_storm", _host),
-    Rule("CORR-005", "Repeated High Severity",
-         "Multiple high or critical severity alerts from the same host in a short period",
-         180, 3, "high", lambda: _severity_in("high", "critical"), "high_sev", _host),
-    Rule("CORR-006", "Reconnaissance/ port scan",
-         "pfsense port scan confirmed by wazuh frequency correlation (rule 100201)",
-         30, 1, "high", lambda: F.col("rule.id") == PORT_SCAN_RULE_ID, "recon", _source),
-)
+# What each rule matches, the key it counts by and, for a distinct count, the member.
+_CONDITIONS: dict[str, tuple[Callable[[], Column], Callable[[], Column], Callable[[], Column] | None]] = {
+    "CORR-001": (lambda: F.col("rule.id").isin(*BRUTE_FORCE_RULE_IDS) | _category_has("authentication_failed", "brute_force"),
+                 _source, None),
+    "CORR-002": (lambda: _severity_in("high", "critical") & _category_has(*PRIVILEGE_MARKERS), _host, None),
+    "CORR-003": (lambda: (_source() != "unknown") & _severity_in("medium", "high", "critical"), _source, _host),
+    "CORR-004": (lambda: F.lit(True), _host, None),
+    "CORR-005": (lambda: _severity_in("high", "critical"), _host, None),
+    "CORR-006": (lambda: F.col("rule.id") == PORT_SCAN_RULE_ID, _source, None),
+}
+
+RULES: tuple[Rule, ...] = tuple(
+    Rule(name, title, text, window, threshold, severity, _CONDITIONS[name][0], prefix, _CONDITIONS[name][1], _CONDITIONS[name][2])
+    for name, title, text, window, threshold, severity, prefix in CORRELATION_RULES)
 
 
 def scaled(rules: Sequence[Rule], factor: int) -> tuple[Rule, ...]:

@@ -38,7 +38,20 @@ def store_rows(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-_ADDRESS = r"^(\d{1,3}(\.\d{1,3}){3}|[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*)(/\d{1,3})?$"
+def _address_pattern() -> str:
+    """An IPv4 or IPv6 address with an optional prefix length, every number within its range."""
+    octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+    v4, h = rf"{octet}(?:\.{octet}){{3}}", "[0-9A-Fa-f]{1,4}"
+    forms = [f"(?:{h}:){{7}}{h}", f"(?:{h}:){{6}}{v4}"]
+    for n in range(8):  # n groups before the double colon, 7 - n after it at most
+        before = f"{h}(?::{h}){{{n - 1}}}" if n else ""
+        forms.append(f"{before}::(?:{h}(?::{h}){{0,{6 - n}}})?" if n < 7 else f"{before}::")
+        if n < 6:
+            forms.append(f"{before}::(?:{h}:){{0,{5 - n}}}{v4}")
+    return rf"^(?:{v4}(?:/(?:3[0-2]|[12]?\d))?|(?:{'|'.join(forms)})(?:/(?:12[0-8]|1[01]\d|[1-9]?\d))?)$"
+
+
+_ADDRESS = _address_pattern()
 
 
 def violations() -> Column:

@@ -244,7 +244,7 @@ steps AS (
 
 _SCAN_SQL = _with(RAW, FIREWALL, SCANS) + """
 SELECT event_id, ts_us, srcip, '100201' AS rule_id, 10 AS level,
-  'pfSense: Possible port scan - ' || srcip || ' hit 10+ distinct ports in 30s' AS description FROM steps WHERE fired"""
+  'pfSense: Possible port scan - ' || srcip || ' hit 10+ distinct ports in ' || (30 * 28800) || 's' AS description FROM steps WHERE fired"""
 
 ATTACK_TEXT = """CASE attack_class WHEN 'brute_force' THEN 'Force Brute' WHEN 'privilege_escalation' THEN 'Escalade de Privilèges'
   WHEN 'lateral_movement' THEN 'Mouvement Latéral' WHEN 'alert_storm' THEN 'Tempête d''Alertes'
@@ -386,6 +386,10 @@ WHERE severity = 3 AND status = 'open' AND category ILIKE '%movement%'""",
 SELECT category, count(*) AS n, min(id) AS first_id FROM incidents
 WHERE concat_ws(' ', id, rule_name, description, key, host, agent_id, agent_ip, source_ip, srcport, alert_rule,
   alert_text, alert_category, alert_severity, asset_host, role, category) ILIKE '%WEB-srv%' GROUP BY category""",
+    "q_search_escape": ALL + r"""
+SELECT 'corp\WEB-srv' AS searched, id FROM incidents WHERE starts_with(lower(host), 'web-srv')
+UNION ALL SELECT 'CORP\recon', id FROM incidents WHERE starts_with(key, 'recon')""",
+    "q_next_page": ALL + f"\nSELECT {_LIST_COLUMNS} FROM incidents i ORDER BY i.confidence DESC NULLS FIRST, i.id LIMIT 20 OFFSET 20",
     "q_recent": ALL + f"""
 SELECT id, {stamp('created_at')} AS created_at, severity, category, confidence, status, event_count, host AS target_hosts,
   rule_id, rule_name, attack_class, CAST(is_tp AS VARCHAR) AS is_true_positive, {SEV} AS severity_label, {SEV_FR} AS severity_fr
@@ -464,7 +468,9 @@ SELECT event_id, interface, reason, action, protocol_id, protocol, srcip, dstip,
     "q_portscan": _SCAN_SQL,
     "q_portscan_split": _SCAN_SQL,
     "q_ssh_brute": _with(RAW) + f"""
-SELECT eid AS event_id, srcip, ts_us FROM (
+SELECT eid AS event_id, srcip, ts_us, '100210' AS rule_id, 10 AS level,
+  'SSH brute force: 6+ failed logins from ' || srcip || ' in {60 * STRETCH}s' AS description, 'T1110' AS mitre,
+  'authentication_failures,brute_force' AS groups FROM (
   SELECT eid, srcip, ts_us, count(*) OVER (PARTITION BY srcip ORDER BY ts_us RANGE BETWEEN {60 * STRETCH * 1_000_000} PRECEDING AND CURRENT ROW) AS c
   FROM raw WHERE rule_id = '5710' AND srcip IS NOT NULL) WHERE c >= 6""",
     "q_win_priv": """
@@ -478,4 +484,5 @@ SELECT rule_id, CASE WHEN rule_id = '100201' THEN 'reconnaissance' WHEN rule_id
 # A stream gives what its batch twin gives.
 ORACLE["s_ingest"] = ORACLE["q_ingest"]
 ORACLE["s_corr"] = ORACLE["q_incidents"]
+ORACLE["s_late"] = ORACLE["q_incidents"]
 ORACLE["s_store"] = ORACLE["q_store_row"]

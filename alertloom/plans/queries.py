@@ -3,11 +3,13 @@ text and times to UTC text, so results compare across engines."""
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alertloom.constants import RETENTION_DAYS
 from alertloom.functions.columns import micros
+from alertloom.functions.normalize import enrich, normalize
 from alertloom.operators import analytics as g, correlate, detect, evaluate, labeling, portscan, store
 from alertloom.operators import model as classifier
 from alertloom.operators.features import features
@@ -17,7 +19,7 @@ from alertloom.session import work_path
 from alertloom.sources import alerts as feed, events as ev, tables
 from alertloom.sources.connectors import Topics
 from alertloom.streaming import jobs
-from alertloom.streaming.correlate import correlate_stream
+from alertloom.streaming.correlate import correlate_stream, reconcile
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,14 +66,14 @@ def q_deadletter(spark, sf_dir):
 
 @query
 def q_retention(spark, sf_dir):
-    """Rows each dataset keeps at the time of the newest event."""
-    stamped = ev.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"))
-    as_of = stamped.agg(F.max("ts")).scalar()
-    counted = stamped.agg(*[
-        F.count_if(F.col("ts") >= as_of - F.expr(f"INTERVAL {days} DAYS")).alias(name)
-        for name, days in RETENTION_DAYS.items()])
-    return counted.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("dataset"), F.col(n).alias("kept")) for n in RETENTION_DAYS])))
+    """Rows each dataset keeps at the time of the newest event, of a table dated by day."""
+    path = work_path(spark, "dated", uuid.uuid4().hex)
+    tables.write_dated(ev.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts")), path, "ts")
+    dated = spark.read.parquet(path)
+    as_of = F.lit(dated.agg(F.max("ts")).first()[0])
+    parts = [tables.retain(dated, name, F.col("ts"), as_of).agg(F.count("*").alias("kept")).select(F.lit(name).alias("dataset"), "kept")
+             for name in RETENTION_DAYS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -370,6 +372,26 @@ def q_search(spark, sf_dir):
     return found.groupBy("category").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
+@query
+def q_search_escape(spark, sf_dir):
+    """Incidents that mention a text with a backslash, in their hosts or in the record."""
+    named = F.transform("target_hosts", lambda h: F.concat(F.lit("corp\\"), h))
+    key = F.concat(F.lit("corp\\"), F.col("raw_incident.correlation_key"))
+    rows = d.stored_incidents(spark, sf_dir).withColumn("target_hosts", named).withColumn(
+        "raw_incident", F.col("raw_incident").withField("correlation_key", key))
+    parts = [rows.filter(g.Filters(search=text).condition()).select(F.lit(text).alias("searched"), "id")
+             for text in ("corp\\WEB-srv", "CORP\\recon")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def q_next_page(spark, sf_dir):
+    """The page after the first one of the list by confidence, found from the first one's last row."""
+    rows = d.stored_incidents(spark, sf_dir)
+    last = g.list_incidents(rows, sort="confidence").select("confidence", "id").collect()[-1]
+    return _listed(g.next_page(rows, last["confidence"], last["id"], sort="confidence"))
+
+
 @query
 def q_recent(spark, sf_dir):
     """Newest incidents."""
@@ -549,9 +571,8 @@ def q_ssh_brute(spark, sf_dir):
     alerts = d.raw_alerts(spark, sf_dir).select(
         F.col("rule.id").alias("rule_id"), F.col("data.srcip").alias("srcip"),
         micros(feed.alert_time()).alias("ts_us"), F.col("_event_id").alias("event_id"))
-    failed = alerts.filter((F.col("rule_id") == "5710") & F.col("srcip").isNotNull())
-    found = detect.trailing_count(failed, "srcip", 60 * DETECTION_STRETCH, 6)
-    return found.select("event_id", "srcip", "ts_us")
+    return detect.ssh_brute_force(alerts, seconds=60 * DETECTION_STRETCH, count=6).select(
+        "event_id", "srcip", "ts_us", "rule_id", "level", "description", "mitre", F.array_join("groups", ",").alias("groups"))
 
 
 @query
@@ -587,8 +608,33 @@ def _run(spark: SparkSession, name: str, sf_dir: str) -> str:
     return work_path(spark, "streams", f"{name}-{uuid.uuid4().hex}")
 
 
-# An alert after all others, so that the watermark passes the last real one.
-_FLUSH = '{"id":"flush","timestamp":"2100-01-01T00:00:00+00:00","agent":{"name":"flush"}}'
+# An alert long after all others, so that the watermark passes the last real one, and two without a usable time.
+_FLUSH = '{"id":"flush","timestamp":"2024-06-01T00:00:00+00:00","agent":{"name":"flush"}}'
+_UNTIMED = ['{"id":"undated","agent":{"name":"u"}}', '{"id":"ahead","timestamp":"2100-01-01T00:00:00+00:00","agent":{"name":"a"}}']
+_ARRIVALS = 4
+
+
+def _land_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The alert lines in a few arrivals of eight days each, of which every second alert comes an arrival late."""
+    events = ev.table(spark, sf_dir, "events")
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    arrival = F.least(F.floor(day / 8), F.lit(_ARRIVALS - 1)) + F.col("event_id") % 2
+    for k in range(_ARRIVALS + 1):
+        lines = ev.alert_lines(events.filter(arrival == k))
+        extra = _UNTIMED if k == 0 else [_FLUSH] if k == _ARRIVALS else []
+        if extra:
+            lines = lines.unionByName(spark.range(1).select(F.explode(F.array(*map(F.lit, extra))).alias("value")))
+        lines.coalesce(1).write.mode("append").text(path)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, base: str, lateness: str) -> DataFrame:
+    """Incidents that a stream finds in lines landed out of order, one file a micro-batch."""
+    _streams(spark)
+    _land_out_of_order(spark, sf_dir, f"{base}/landing")
+    alerts = jobs.enriched_stream(feed.follow_lines(spark, f"{base}/landing", 1), tables.seed_assets(spark))
+    found = correlate_stream(alerts, d.TEST_RULES, lateness)
+    jobs.run_available(jobs.to_table(found, f"{base}/incidents", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/incidents")
 
 
 @query
@@ -605,15 +651,18 @@ def s_ingest(spark, sf_dir):
 
 @query
 def s_corr(spark, sf_dir):
-    """Landed alert lines to incidents in one stream: parse, enrich, correlate."""
-    _streams(spark)
-    base = _run(spark, "correlate", sf_dir)
-    ev.alert_lines(ev.table(spark, sf_dir, "events")).write.text(f"{base}/landing")
-    spark.range(1).select(F.lit(_FLUSH).alias("value")).write.mode("append").text(f"{base}/landing")
-    alerts = jobs.enriched_stream(feed.follow_lines(spark, f"{base}/landing"), tables.seed_assets(spark))
-    found = correlate_stream(alerts, d.TEST_RULES)
-    jobs.run_available(jobs.to_table(found, f"{base}/incidents", f"{base}/checkpoint"))
-    return _flat_incidents(spark.read.parquet(f"{base}/incidents"))
+    """Alert lines landed out of order, some without a usable time, to incidents in one stream: parse, enrich, correlate."""
+    return _flat_incidents(_streamed(spark, sf_dir, _run(spark, "correlate", sf_dir), "17 days"))
+
+
+@query
+def s_late(spark, sf_dir):
+    """The same arrivals with less patience than they need, and the incidents put right from the landed lines."""
+    base = _run(spark, "late", sf_dir)
+    found = _streamed(spark, sf_dir, base, "2 days")
+    landed = feed.stamp(feed.good(feed.parse(feed.read_lines(spark, f"{base}/landing"), timed=True)))
+    alerts = enrich(normalize(landed), tables.seed_assets(spark))
+    return _flat_incidents(reconcile(found, alerts, d.TEST_RULES).filter("state != 'withdrawn'"))
 
 
 @query

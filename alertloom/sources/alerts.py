@@ -9,6 +9,8 @@ from alertloom.schemas import RAW_ALERT
 
 _WHITESPACE = " \t\n\r\x0b\x0c"
 _CORRUPT = "_corrupt"
+#: How far clocks of senders may run ahead.
+AHEAD = "1 DAY"
 _PARSED = T.StructType(RAW_ALERT.fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
@@ -29,12 +31,18 @@ def follow_lines(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.text(path)
 
 
-def parse(lines: DataFrame) -> DataFrame:
+def has_usable_time() -> Column:
+    """Whether the alert's own time is there and at most ``AHEAD`` in the future."""
+    return F.coalesce(iso_timestamp(F.col("timestamp")) <= F.current_timestamp() + F.expr(f"INTERVAL {AHEAD}"), F.lit(False))
+
+
+def parse(lines: DataFrame, timed: bool = False) -> DataFrame:
     """RAW_ALERT columns plus ``payload`` and ``_error`` for every non-blank line.
 
     ``_error`` is null for a good alert, else ``malformed`` (not a JSON object, or an object
-    of the wrong shape) or ``level`` (a rule level that is not a number). Bytes that are not
-    UTF-8 are replaced. Other columns of ``lines`` are kept.
+    of the wrong shape), ``level`` (a rule level that is not a number) or, if ``timed`` asks for it,
+    ``time`` (no time that parses, or one in the future; such an alert has no place in event time and must not move
+    a watermark). Bytes that are not UTF-8 are replaced. Other columns of ``lines`` are kept.
     """
     value = F.btrim(F.make_valid_utf8(F.col("value")), F.lit(_WHITESPACE))
     kept = [c for c in lines.columns if c != "value"]
@@ -51,7 +59,8 @@ def parse(lines: DataFrame) -> DataFrame:
     return (
         parsed.select(*kept, "payload", malformed.alias("_malformed"), *fields)
         .withColumn("_error", F.when(F.col("_malformed"), "malformed")
-                    .when(~has_numeric_level(), "level"))
+                    .when(~has_numeric_level(), "level")
+                    .when(F.lit(timed) & ~has_usable_time(), "time"))
         .drop("_malformed")
     )
 

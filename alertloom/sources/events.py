@@ -161,11 +161,17 @@ def run_log(customers: DataFrame) -> DataFrame:
 
 def firewall_lines(events: DataFrame) -> DataFrame:
     """One firewall log line per event, with its time: mostly TCP, some UDP and ICMP, and sshd
-    lines for errors. ``value`` is the line."""
+    lines for errors; bare, or behind a syslog header of one of three forms. ``value`` is the line."""
     proto = F.when(F.col("event_id") % 9 == 0, "icmp").when(F.col("event_id") % 9 < 3, "udp").otherwise("tcp")
     number = F.when(F.col("event_id") % 9 == 0, "1").when(F.col("event_id") % 9 < 3, "17").otherwise("6")
+    form, ts = F.col("event_id") % 4, F.col("ts").cast("timestamp")
+    program = (
+        F.when(form == 1, F.concat(F.lit("<134>"), F.date_format(ts, "MMM d HH:mm:ss"), F.lit(" fw-1 filterlog[4711]: ")))
+        .when(form == 2, F.concat(F.lit("<134>1 "), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(" fw-1 filterlog 4711 - - ")))
+        .when(form == 3, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX"), F.lit(" fw-1 filterlog[4711]: ")))
+        .otherwise(F.lit("filterlog: ")))
     head = F.concat(
-        F.lit("filterlog: 5,,,1000000103,em"), _text(F.col("user_id") % 2), F.lit(",match,"),
+        program, F.lit("5,,,1000000103,em"), _text(F.col("user_id") % 2), F.lit(",match,"),
         F.when(F.col("event_type") == "view", "pass").otherwise("block"),
         F.lit(",in,4,0x0,,64,"), _text(F.col("event_id")), F.lit(",0,DF,"), number, F.lit(","), proto,
         F.lit(",60,"), F.lit("203.0.113."), _text(F.col("user_id") % 250),

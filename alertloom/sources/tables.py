@@ -1,6 +1,9 @@
 """Tables besides the alert feed: asset dimension, run log, attack matrix, retention."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import datetime
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from alertloom.constants import ASSETS, RETENTION_DAYS
 from alertloom.functions.columns import iso_timestamp, literal_table
@@ -26,9 +29,17 @@ def insert_missing(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Run windows of a header CSV; ``run_idx`` is the line order, the tie-break of labelling."""
-    text = spark.read.schema(RUN_LOG).option("header", True).option("escape", '"').csv(path)
-    return text.withColumn("run_idx", F.monotonically_increasing_id())
+    """Run windows of header CSV files; ``run_idx`` is the order of the files' names and of the lines, the tie-break of labelling.
+
+    A quoted field may hold line breaks, so a file is read by one task, whose rows are numbered in the order of its lines.
+    """
+    text = spark.read.schema(RUN_LOG).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    lines = text.withColumn("_file", F.input_file_name()).withColumn("_line", F.monotonically_increasing_id())
+    first = lines.groupBy("_file").agg(F.min("_line").alias("_first"), F.count("*").alias("_n"))  # one row a file
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = first.select("_file", "_first", before.alias("_before"))
+    return lines.join(first, "_file").withColumn(
+        "run_idx", F.col("_before") + F.col("_line") - F.col("_first")).drop("_file", "_line", "_first", "_before")
 
 
 def read_attack_matrix(spark: SparkSession, path: str) -> DataFrame:
@@ -48,8 +59,28 @@ def run_windows(runs: DataFrame, pad_seconds: float = 5) -> DataFrame:
 
 
 def retain(df: DataFrame, dataset: str, ts: Column, as_of: Column) -> DataFrame:
-    """Rows of a dataset still within its retention at ``as_of``."""
-    return df.filter(ts >= as_of - F.expr(f"INTERVAL {RETENTION_DAYS[dataset]} DAYS"))
+    """Rows of a dataset still within its retention at ``as_of``; of a dated table, only the days that may hold some are read."""
+    bound = as_of - F.expr(f"INTERVAL {RETENTION_DAYS[dataset]} DAYS")
+    kept = df.filter(ts >= bound)
+    return kept.filter(F.col("dt") >= F.to_date(bound)) if "dt" in df.columns else kept
+
+
+def expire(spark: SparkSession, path: str, dataset: str, as_of: datetime.date) -> list[datetime.date]:
+    """Delete the days of a dated table that are wholly beyond the dataset's retention; the days deleted.
+
+    The folder is listed through the file system that Spark reads it with. A table holds a folder a day, so the list is short.
+    """
+    bound = as_of - datetime.timedelta(days=RETENTION_DAYS[dataset])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and re.fullmatch(r"dt=\d{4}-\d\d-\d\d", name):
+            day = datetime.date.fromisoformat(name.removeprefix("dt="))
+            if day < bound and fs.delete(status.getPath(), True):
+                gone.append(day)
+    return sorted(gone)
 
 
 def write_dated(df: DataFrame, path: str, ts: str, codec: str = "lz4_raw") -> None:

@@ -5,16 +5,18 @@ the watermark has not passed yet. Matches are counted in (time, event id) order
 watermark guarantees that nothing earlier can still come, so the result does not depend on
 how the stream was cut into micro-batches. What one key buffers is bounded by its matches
 within one micro-batch and the watermark delay; bound the former with the source's rate option.
+A counter that has expired by the watermark, or has just fired, leaves no state.
 """
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from alertloom.functions.columns import lookup
-from alertloom.operators.correlate import build_incidents
+from alertloom.operators.correlate import build_incidents, correlate
 from alertloom.operators.rules import Rule, fan_out
 from alertloom.schemas import TRIGGERING_ALERT
 
@@ -46,9 +48,12 @@ class _Counter(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
+        window_us, threshold, distinct = self.rules[key[0]]
         rows = [tuple(r) for r in self.pending.get()]
         due = sorted(r for r in rows if r[0] <= passed)
         if not due:
+            if not rows and self.counter.exists() and self.counter.get()[0] + window_us < passed:
+                self.counter.clear()
             return
         later = [r for r in rows if r[0] > passed]
         if later:
@@ -57,7 +62,6 @@ class _Counter(StatefulProcessor):
         else:
             self.pending.clear()
 
-        window_us, threshold, distinct = self.rules[key[0]]
         last, n, members = self.counter.get() if self.counter.exists() else (None, 0, [])
         members = set(members or [])
         fired = []
@@ -73,7 +77,11 @@ class _Counter(StatefulProcessor):
             if n == threshold:
                 fired.append((key[0], key[1], event_id, ts, alert))
                 n, members = 0, set()
-        self.counter.update((last, n, sorted(members)))
+        if n:
+            self.counter.update((last, n, sorted(members)))
+            self.handle.registerTimer((last + window_us) // 1000 + 2)
+        else:
+            self.counter.clear()
         if fired:
             yield pd.DataFrame(fired, columns=["rule_id", "key", "event_id", "ts_us", "alert"])
 
@@ -81,27 +89,47 @@ class _Counter(StatefulProcessor):
         pass
 
 
-def fire_stream(alerts: DataFrame, rules: Sequence[Rule], lateness: str = "0 seconds") -> DataFrame:
-    """Firings of a stream of enriched alerts; alerts later than ``lateness`` are dropped and
-    counted by Spark (``numRowsDroppedByWatermark`` in the query progress)."""
-    settings = {r.id: (r.window_sec * 1_000_000, r.threshold, r.member is not None) for r in rules}
-    hits = (
-        fan_out(alerts, rules)
-        .withColumn("alert", F.to_json("alert"))
-        .withColumn("hit_ts", F.timestamp_micros("ts_us"))
-        .withWatermark("hit_ts", lateness)
-    )
-    fired = hits.select("rule_id", "key", "ts_us", "event_id", "member", "alert", "hit_ts").groupBy(
-        "rule_id", "key").transformWithStateInPandas(
-        statefulProcessor=_Counter(settings), outputStructType=_FIRED, outputMode="Append", timeMode="EventTime")
-    rule_id = F.col("rule_id")
-    return (
-        fired.withColumn("alert", F.from_json("alert", TRIGGERING_ALERT))
-        .withColumn("threshold", lookup({r.id: r.threshold for r in rules}, rule_id))
-        .withColumn("window_us", lookup({r.id: r.window_sec * 1_000_000 for r in rules}, rule_id).cast("long"))
-    )
-
-
-def correlate_stream(alerts: DataFrame, rules: Sequence[Rule], lateness: str = "0 seconds") -> DataFrame:
+def fire_stream(alerts: DataFrame, rules: Sequence[Rule], lateness: str) -> DataFrame:
+    """Firings of a stream of enriched alerts.
+
+    ``lateness`` is how far alerts may be out of order over micro-batches. Later ones can't be counted in their place any more; Spark
+    counts them (``numRowsDroppedByWatermark`` in the query progress), they are still in the landed feed, and
+    ``reconcile`` puts the incidents right from there. Rules with threshold 1 need no state and fire as alerts pass.
+    """
+    instant = [r for r in rules if r.threshold == 1]
+    counted = [r for r in rules if r.threshold > 1]
+    parts = [fan_out(alerts, instant).drop("member")] if instant else []
+    if counted:
+        settings = {r.id: (r.window_sec * 1_000_000, r.threshold, r.member is not None) for r in counted}
+        hits = (
+            fan_out(alerts, counted)
+            .withColumn("alert", F.to_json("alert"))
+            .withColumn("hit_ts", F.timestamp_micros("ts_us"))
+            .withWatermark("hit_ts", lateness)
+        )
+        fired = hits.select("rule_id", "key", "ts_us", "event_id", "member", "alert", "hit_ts").groupBy(
+            "rule_id", "key").transformWithStateInPandas(
+            statefulProcessor=_Counter(settings), outputStructType=_FIRED, outputMode="Append", timeMode="EventTime")
+        rule_id = F.col("rule_id")
+        parts.append(
+            fired.withColumn("alert", F.from_json("alert", TRIGGERING_ALERT))
+            .withColumn("threshold", lookup({r.id: r.threshold for r in counted}, rule_id))
+            .withColumn("window_us", lookup({r.id: r.window_sec * 1_000_000 for r in counted}, rule_id).cast("long")))
+    columns = ["rule_id", "key", "event_id", "ts_us", "threshold", "window_us", F.col("alert").cast(TRIGGERING_ALERT).alias("alert")]
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+
+
+def correlate_stream(alerts: DataFrame, rules: Sequence[Rule], lateness: str) -> DataFrame:
     """Incidents of a stream of enriched alerts."""
     return build_incidents(fire_stream(alerts, rules, lateness), rules)
+
+
+def reconcile(found: DataFrame, alerts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The incidents of all landed ``alerts`` beside those a stream has ``found``, with ``state``: ``kept``, ``added`` (a late alert was
+    missing) or ``withdrawn`` (found only because one was missing). Ids depend on the alerts alone, so a second run adds nothing."""
+    right = correlate(alerts, rules)
+    known = found.select(F.col("incident_id").alias("_found")).distinct()
+    state = F.when(F.col("_found").isNull(), "added").otherwise("kept")
+    kept = right.join(known, F.col("incident_id") == F.col("_found"), "left").withColumn("state", state).drop("_found")
+    gone = found.join(right.select("incident_id"), "incident_id", "left_anti").withColumn("state", F.lit("withdrawn"))
+    return kept.unionByName(gone)

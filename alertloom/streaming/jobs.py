@@ -18,12 +18,13 @@ def observed(parsed: DataFrame) -> DataFrame:
 
 
 def enriched_stream(lines: DataFrame, assets: DataFrame) -> DataFrame:
-    """Alert lines to enriched alerts: map-only, one query."""
-    return enrich(normalize(feed.stamp(feed.good(observed(feed.parse(lines))))), assets)
+    """Alert lines to enriched alerts: map-only, one query. Alerts without a usable time are errors here."""
+    return enrich(normalize(feed.stamp(feed.good(observed(feed.parse(lines, timed=True))))), assets)
 
 
-def ingest_stream(lines: DataFrame, checkpoint: str, alerts: str, dead: str) -> DataStreamWriter:
-    """Good alerts into one table and dead letters into another, both replaced by a retry."""
+def ingest_stream(lines: DataFrame, checkpoint: str, alerts: str, dead: str, timed: bool = False) -> DataStreamWriter:
+    """Good alerts into one table and dead letters into another, both replaced by a retry. With ``timed``, alerts without a
+    usable time are dead letters too, as they are for the correlation."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -31,7 +32,7 @@ def ingest_stream(lines: DataFrame, checkpoint: str, alerts: str, dead: str) ->
         store.append_batch(feed.dead_letters(batch), dead, batch_id)
         batch.unpersist()
 
-    return observed(feed.parse(lines)).writeStream.option("checkpointLocation", checkpoint).foreachBatch(land)
+    return observed(feed.parse(lines, timed)).writeStream.option("checkpointLocation", checkpoint).foreachBatch(land)
 
 
 def decode(messages: DataFrame, schema: StructType) -> DataFrame:

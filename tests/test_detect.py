@@ -27,6 +27,16 @@ def test_firewall_lines(spark):
         "pfSense: firewall filter log event (block tcp 203.0.113.9:51000 -> 192.168.10.104:22)")
 
 
+def test_firewall_lines_behind_syslog_headers(spark):
+    rest = LINES[0].removeprefix("filterlog: ")
+    heads = ["filterlog[42]: ", "<134>Jul  6 11:47:50 filterlog[42]: ", "Jul 16 11:47:50 fw-1 filterlog: ", "<134>1 2026-07-16T11:47:50Z fw-1 filterlog 42 - - ",
+             '<134>1 2026-07-16T11:47:50Z fw-1 filterlog 42 - [x@1 a="b"] ', "2026-07-16T11:47:50.123+00:00 fw-1 filterlog[42]: "]
+    others = ["Jul 16 11:47:50 fw-1 sshd: filterlog: " + rest, "xfilterlog: " + rest, "filterlog: 5,,,", "filterlog"]
+    df = spark.createDataFrame([(h + rest,) for h in heads] + [(x,) for x in others], "value string")
+    rows = detect.parse_firewall(df).collect()
+    assert len(rows) == len(heads) and {(r["interface"], r["srcip"], r["dstport"]) for r in rows} == {("em0", "203.0.113.9", "22")}
+
+
 def simulate_scans(events, seconds, ports, ignore):
     """(event id) of reported scans of one source."""
     events = sorted(events)

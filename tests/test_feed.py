@@ -1,5 +1,7 @@
 """Parsing, normalisation and enrichment on hand-made lines."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,33 @@ def test_retention_and_dated_table(spark, tmp_path):
     assert tables.retain(df, "alerts_raw", F.col("ts"), as_of).count() == 2
 
 
+def test_days_beyond_retention_are_deleted(spark, tmp_path):
+    df = spark.sql("SELECT timestamp'2026-01-01' + make_dt_interval(i) AS ts, i FROM (SELECT explode(sequence(0, 9)) AS i)")
+    path = str(tmp_path / "dated")
+    tables.write_dated(df, path, "ts")
+    gone = tables.expire(spark, path, "alerts_normalized", datetime.date(2026, 1, 10))
+    assert gone == [datetime.date(2026, 1, 1), datetime.date(2026, 1, 2)]
+    assert spark.read.parquet(path).agg(F.min("i")).first()[0] == 2 and tables.expire(spark, path, "alerts_normalized", datetime.date(2026, 1, 10)) == []
+
+
+def test_retention_prunes_days(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    tables.write_dated(spark.sql("SELECT timestamp'2026-01-01' + make_dt_interval(i) AS ts, i FROM (SELECT explode(sequence(0, 39)) AS i)"), path, "ts")
+    kept = tables.retain(spark.read.parquet(path), "alerts_raw", F.col("ts"), F.lit("2026-02-09").cast("timestamp"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and kept.count() == 2
+
+
+def test_run_logs_are_in_order_of_names_and_lines(spark, tmp_path):
+    head = "scenario_id,attack_class,tool_cmd,target,start_time_utc,end_time_utc,run_note\n"
+    line = '{0},brute_force,x,t,2026-07-16T11:47:43+00:00,2026-07-16T11:48:10+00:00,"a\nb"\n'
+    (tmp_path / "b.csv").write_text(head + "".join(line.format(f"b{i}") for i in range(50)))
+    (tmp_path / "a.csv").write_text(head + line.format("a0") + line.format("a1"))
+    rows = tables.read_run_log(spark, str(tmp_path)).orderBy("run_idx").collect()
+    assert [r["run_idx"] for r in rows] == list(range(52))
+    assert [r["scenario_id"] for r in rows] == ["a0", "a1", *[f"b{i}" for i in range(50)]] and rows[0]["run_note"] == "a\nb"
+
+
 def test_run_log_and_matrix(spark, tmp_path):
     (tmp_path / "runs.csv").write_text(
         "scenario_id,attack_class,tool_cmd,target,start_time_utc,end_time_utc,run_note\n"

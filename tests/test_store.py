@@ -82,6 +82,13 @@ def test_constraints(spark):
     assert {int(r["id"]) for r in store.accepted(rows).collect()} == {1, 7, 8}
 
 
+def test_addresses(spark):
+    good = ["1.2.3.4", "255.255.255.255", "10.0.0.0/8", "0.0.0.0/32", "::", "::1", "fe80::1/64", "1:2:3:4:5:6:7:8", "1::8", "::ffff:1.2.3.4", "1:2:3:4:5:6:7::"]
+    bad = ["999.1.1.1/999", "1.2.3", "256.1.1.1", "1.2.3.4/33", "1:2:3", "1::2::3", "::1/129", "12345::", "1:2:3:4:5:6:7:8:9", ":", "1.2.3.4.5", ""]
+    df = spark.createDataFrame([(a,) for a in good + bad], "a string")
+    assert {r["a"] for r in df.filter(F.col("a").rlike(store._ADDRESS)).collect()} == set(good)
+
+
 def test_documents_keep_last_write(spark):
     rows = scored(spark, {"incident_id": "a", "severity": "low", "_source": "s"}, {"incident_id": "a", "severity": "high"},
                   {"incident_id": "b", "severity": "info"})

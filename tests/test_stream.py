@@ -9,9 +9,9 @@ from alertloom.operators.correlate import correlate
 from alertloom.operators.rules import RULES, scaled
 from alertloom.sources import alerts as feed, tables
 from alertloom.streaming import jobs
-from alertloom.streaming.correlate import correlate_stream
+from alertloom.streaming.correlate import correlate_stream, reconcile
 
-FLUSH = '{"id":"flush","timestamp":"2100-01-01T00:00:00+00:00","agent":{"name":"flush"}}'
+FLUSH = '{"id":"flush","timestamp":"2026-08-16T00:00:00+00:00","agent":{"name":"flush"}}'
 
 
 def alert_line(i, second):
@@ -90,6 +90,44 @@ def test_alerts_behind_the_watermark_are_dropped_and_counted(spark, tmp_path):
     assert stream_ids(spark, tmp_path) == batch_ids(spark, rows[100:])
 
 
+def test_alerts_without_a_usable_time_do_no_harm(spark, tmp_path):
+    rows = lines()
+    for k in range(4):
+        bad = ['{"id":"u"}', '{"id":"f","timestamp":"2099-01-01T00:00:00Z"}', '{"id":"x","timestamp":"yesterday"}'] if k == 0 else []
+        land(tmp_path / "landing", f"{k}.json", rows[k * 150 : (k + 1) * 150] + bad)
+    land(tmp_path / "landing", "z.json", [FLUSH])
+    query = run_correlation(spark, tmp_path)
+    assert jobs.counters(query)["late"] == 0 and stream_ids(spark, tmp_path) == batch_ids(spark, rows)
+    parsed = feed.parse(feed.read_lines(spark, str(tmp_path / "landing")), timed=True)
+    assert [r["n"] for r in feed.dead_letters(parsed).groupBy("_error").agg(F.count("*").alias("n")).collect()] == [3]
+
+
+def test_reconciling_adds_and_withdraws(spark, tmp_path):
+    rows = lines()
+    land(tmp_path / "landing", "a.json", rows[100:])
+    land(tmp_path / "landing", "b.json", [FLUSH])
+    land(tmp_path / "landing", "c.json", rows[:100])
+    run_correlation(spark, tmp_path)
+    found = spark.read.parquet(str(tmp_path / "out"))
+    landed = feed.ingest(feed.read_lines(spark, str(tmp_path / "landing")))
+    alerts = enrich(normalize(landed), tables.seed_assets(spark))
+    got = reconcile(found, alerts, RULES).select("incident_id", "state").collect()
+    expected = {i for i, _ in batch_ids(spark, rows)}
+    assert {r["incident_id"] for r in got if r["state"] != "withdrawn"} == expected
+    assert {r["state"] for r in got} >= {"kept", "added"} and found.count() == sum(r["state"] != "added" for r in got)
+    right = reconcile(found, alerts, RULES).filter("state != 'withdrawn'").drop("state")
+    assert {r["state"] for r in reconcile(right, alerts, RULES).select("state").collect()} == {"kept"}
+
+
+def test_state_is_empty_after_the_windows(spark, tmp_path):
+    land(tmp_path / "landing", "a.json", lines())
+    land(tmp_path / "landing", "b.json", [FLUSH])
+    land(tmp_path / "landing", "c.json", [FLUSH.replace("2026-08-16", "2026-08-18")])
+    run_correlation(spark, tmp_path)
+    kept = spark.read.format("statestore").option("stateVarName", "counter").load(str(tmp_path / "checkpoint")).collect()
+    assert [r for r in kept if not r["key"]["key"].endswith(("flush", "unknown"))] == []
+
+
 def test_ingest_resumes_where_it_stopped(spark, tmp_path):
     rows = lines()
     landing = tmp_path / "landing"
