@@ -1,9 +1,8 @@
-"""Size checks that decide between a broadcast and a shuffle, and whether keys need splitting."""
+"""Size checks that decide between a broadcast and a shuffle."""
 
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_BYTES = 64 << 20
-SPLIT_BYTES = 256 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:

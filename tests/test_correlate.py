@@ -178,3 +178,21 @@ def test_rule_matchers(spark):
     for r in fan_out(alerts, RULES).select("event_id", "rule_id").collect():
         got.setdefault(int(r["event_id"]), set()).add(int(r["rule_id"][-1]))
     assert got == {i: case[-1] for i, case in enumerate(MATCHER_CASES)}
+
+
+def test_a_burst_and_a_sparse_time_are_cut_alike(spark):
+    from alertloom.operators.skew import with_chunks
+
+    burst = "SELECT 'R' AS rule_id, 'hot' AS key, 1000000000 + id * 97 AS ts_us, id FROM range(10000)"
+    sparse = "SELECT 'R', 'hot', 3000000000 + id * 60000000, id FROM range(10000)"
+    moment = "SELECT 'R', 'moment', 5000000000, id FROM range(500)"
+    cold = "SELECT 'R', 'cold', id * 1000, id FROM range(100)"
+    df = spark.sql(f"{burst} UNION ALL {sparse} UNION ALL {moment} UNION ALL {cold}")
+    chunks, sliced = with_chunks(df, ["rule_id", "key"], "auto", 100)
+    rows = chunks.groupBy("key", "chunk").agg(
+        F.count("*").alias("n"), F.min("ts_us").alias("a"), F.max("ts_us").alias("b")).orderBy("key", "chunk").collect()
+    hot = [r for r in rows if r["key"] == "hot"]
+    assert sliced and len(hot) <= 2 * 20_000 // 100 and max(r["n"] for r in hot) <= 200 and sum(r["n"] for r in hot) == 20_000
+    assert all(x["b"] < y["a"] for x, y in zip(hot, hot[1:]))
+    assert [(r["key"], r["n"]) for r in rows if r["key"] != "hot"] == [("cold", 100), ("moment", 500)]
+    assert with_chunks(df, ["rule_id", "key"], "auto", 30_000)[1] is False and with_chunks(df, ["rule_id", "key"], "always", 20_000)[1] is False
