@@ -1,5 +1,7 @@
 """Scored incidents to table rows: mapping, validation, upsert, documents."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from alertloom.constants import SEVERITY_STORED
@@ -9,8 +11,8 @@ from alertloom.schemas import DOCUMENT, SCORED_INCIDENT
 UPDATED_ON_CONFLICT = ["updated_at", "last_seen", "event_count", "confidence", "raw_incident"]
 
 
-def store_rows(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """One incidents-table row per scored incident; the record itself stays as a struct."""
+def store_rows(scored: DataFrame, as_of: Column | None = None, kept: Sequence[str] = ()) -> DataFrame:
+    """One incidents-table row per scored incident; the record itself stays as a struct. Columns in ``kept`` go along."""
     now = as_of if as_of is not None else F.current_timestamp()
     ts = F.coalesce(F.col("`@timestamp`").cast("timestamp"), now)
     source = F.col("triggering_alert.source.ip")
@@ -35,6 +37,7 @@ def store_rows(scored: DataFrame, as_of: Column | None = None) -> DataFrame:
         F.lit(None).cast("string").alias("analyst_notes"),
         F.lit(None).cast("int").alias("label"),
         F.struct(*[F.col(f"`{f.name}`") for f in SCORED_INCIDENT.fields]).alias("raw_incident"),
+        *kept,
     )
 
 

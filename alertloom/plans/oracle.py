@@ -338,6 +338,17 @@ SELECT sid AS id, {stamp('min(created_at)')} AS created_at, {stamp('max(created_
   arg_min(host, (created_at, id)) AS target_hosts, arg_max(event_count, (created_at, id)) AS event_count,
   arg_min(status, (created_at, id)) AS status, CAST(arg_max(event_id, (created_at, id)) AS VARCHAR) AS last_event
 FROM repeated GROUP BY sid""",
+    "q_edit_persist": _with(RAW, RULES, COUNTED, DISTINCT, FIRED, INCIDENTS, _FOLDED) + f""",
+now AS (
+  SELECT sid AS id, min(created_at) AS created_at, max(created_at) AS updated_at, arg_min(severity, (created_at, id)) AS severity,
+    arg_max(confidence, (created_at, id)) AS confidence, CAST(arg_max(event_id, (created_at, id)) AS VARCHAR) AS last_event
+  FROM repeated GROUP BY sid
+),
+edited AS (SELECT *, severity = 3 AND hour(created_at) < 12 AS first_edit, confidence >= 0.8::DOUBLE AS second_edit FROM now)
+SELECT id, {stamp('created_at')} AS created_at,
+  CASE WHEN second_edit THEN '2024-03-02 00:00:00.000000' WHEN first_edit THEN '2024-03-01 00:00:00.000000' ELSE {stamp('updated_at')} END AS updated_at,
+  severity, confidence, CASE WHEN second_edit THEN 'closed' WHEN first_edit THEN 'investigating' ELSE 'open' END AS status,
+  CASE WHEN first_edit THEN 'analyst1' END AS assigned_to, last_event FROM edited""",
     "q_constraints": ALL + """
 SELECT id, array_to_string(list_filter([CASE WHEN event_id % 23 = 0 THEN 'first_seen is null' END,
   CASE WHEN event_id % 17 = 0 THEN 'severity out of range' END,

@@ -14,6 +14,7 @@ from alertloom.operators import analytics as g, correlate, detect, evaluate, lab
 from alertloom.operators import model as classifier
 from alertloom.operators.features import features
 from alertloom.operators.rules import fan_out, match_counts
+from alertloom.operators.table import IncidentTable
 from alertloom.plans import derive as d
 from alertloom.session import work_path
 from alertloom.sources import alerts as feed, events as ev, tables
@@ -214,18 +215,17 @@ def q_store_row(spark, sf_dir):
         F.array_join("target_hosts", ",").alias("target_hosts"), "event_count", "status")
 
 
-def _repeated_rows(spark, sf_dir) -> DataFrame:
+def _repeated_rows(rows: DataFrame) -> DataFrame:
     """Store rows in which the incidents of one rule and key on one day share an id."""
     day = F.date_format("created_at", "yyyy-MM-dd")
     shared = F.md5(F.concat_ws("|", "raw_incident.correlation_rule.id", "raw_incident.correlation_key", day))
-    return d.store_rows(spark, sf_dir).withColumn(
-        "_order", F.struct("created_at", "id")).withColumn("id", shared)
+    return rows.withColumn("_order", F.struct("created_at", "id")).withColumn("id", shared)
 
 
 @query
 def q_upsert(spark, sf_dir):
     """Table after upserting a stream of rows with repeated ids."""
-    return store.fold_upserts(_repeated_rows(spark, sf_dir), F.col("_order")).select(
+    return store.fold_upserts(_repeated_rows(d.store_rows(spark, sf_dir)), F.col("_order")).select(
         "id", at("created_at").alias("created_at"), at("updated_at").alias("updated_at"),
         at("first_seen").alias("first_seen"), at("last_seen").alias("last_seen"), "severity", "category",
         "confidence", F.array_join("source_ips", ",").alias("source_ips"),
@@ -233,6 +233,26 @@ def q_upsert(spark, sf_dir):
         F.col("raw_incident.triggering_alert.event.id").alias("last_event"))
 
 
+@query
+def q_edit_persist(spark, sf_dir):
+    """The stored table after two upserts with repeated ids, an edit and a compaction between them, and an edit afterwards."""
+    rows = _repeated_rows(d.stored_incidents(spark, sf_dir).drop("created_date")).withColumnRenamed("_order", "_seq")
+    table = IncidentTable(spark, work_path(spark, "table", uuid.uuid4().hex))
+    early = F.hour("created_at") < 12
+    table.append(rows.filter(early), 0)
+    table.edit(table.read().filter("severity = 3").select("id", F.lit("investigating").alias("status"), F.lit("analyst1").alias("assigned_to")),
+               F.to_timestamp(F.lit("2024-03-01")), 0)
+    table.compact()
+    table.append(rows.filter(~early), 1)
+    table.compact()
+    table.retire()
+    closed = table.read().filter("confidence >= 0.8").select("id", F.lit("closed").alias("status"))
+    table.edit(closed, F.to_timestamp(F.lit("2024-03-02")), 1)
+    return table.read().select(
+        "id", at("created_at").alias("created_at"), at("updated_at").alias("updated_at"), "severity", "confidence", "status", "assigned_to",
+        F.col("raw_incident.triggering_alert.event.id").alias("last_event"))
+
+
 @query
 def q_constraints(spark, sf_dir):
     """Rows that break a constraint, with the reasons, when scores and severities go wrong."""
@@ -671,7 +691,7 @@ def s_store(spark, sf_dir):
     base = _run(spark, "store", sf_dir)
     topics = Topics("files", f"{base}/topics")
     topics.write(d.score_by_rule(d.incidents(spark, sf_dir)), "results", key="incident_id")
-    scored = jobs.scored_incidents_of(topics.read_stream(spark, "results"))
+    scored = jobs.scored_incidents_of(topics.read_stream(spark, "results", position=True))
     jobs.run_available(jobs.store_stream(
         scored, f"{base}/checkpoint", f"{base}/table", f"{base}/documents", f"{base}/rejects"))
     return store.current_incidents(spark, f"{base}/table").select(

@@ -28,10 +28,15 @@ class Topics:
     def _folder(self, topic: str) -> str:
         return f"{self.location.rstrip('/')}/{topic}"
 
-    def read_stream(self, spark: SparkSession, topic: str) -> DataFrame:
-        """Stream of ``value`` text from the earliest record; the checkpoint keeps offsets."""
+    def read_stream(self, spark: SparkSession, topic: str, position: bool = False) -> DataFrame:
+        """Stream of ``value`` text from the earliest record; the checkpoint keeps offsets. With ``position`` also ``_position``, by which
+        records of one key are in the order of the topic: partition and offset, or time and name of the file."""
         if self.kind == "files":
-            return spark.readStream.options(**self.options).text(self._folder(topic)).select("value")
+            lines = spark.readStream.options(**self.options).text(self._folder(topic))
+            at = F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("name"),
+                          F.lit(None).cast("long").alias("offset"))
+            return lines.select("value", at.alias("_position")) if position else lines.select("value")
+        at = F.struct(F.lit(None).cast("timestamp").alias("time"), F.col("partition").cast("string").alias("name"), "offset")
         return (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", self.location)
@@ -39,7 +44,7 @@ class Topics:
             .option("startingOffsets", "earliest")
             .options(**self.options)
             .load()
-            .select(F.col("value").cast("string").alias("value"))
+            .select(F.col("value").cast("string").alias("value"), *[at.alias("_position")] * position)
         )
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:

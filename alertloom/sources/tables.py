@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from alertloom.constants import ASSETS, RETENTION_DAYS
 from alertloom.functions.columns import iso_timestamp, literal_table
+from alertloom.sources import files
 from alertloom.schemas import ASSET, ATTACK_MATRIX, LABELLED, RUN_LOG
 
 
@@ -71,16 +72,9 @@ def expire(spark: SparkSession, path: str, dataset: str, as_of: datetime.date) -
     The folder is listed through the file system that Spark reads it with. A table holds a folder a day, so the list is short.
     """
     bound = as_of - datetime.timedelta(days=RETENTION_DAYS[dataset])
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    gone = []
-    for status in fs.listStatus(folder):
-        name = status.getPath().getName()
-        if status.isDirectory() and re.fullmatch(r"dt=\d{4}-\d\d-\d\d", name):
-            day = datetime.date.fromisoformat(name.removeprefix("dt="))
-            if day < bound and fs.delete(status.getPath(), True):
-                gone.append(day)
-    return sorted(gone)
+    days = [n.removeprefix("dt=") for n in files.folders(spark, path) if re.fullmatch(r"dt=\d{4}-\d\d-\d\d", n)]
+    gone = [d for d in map(datetime.date.fromisoformat, days) if d < bound]
+    return [d for d in gone if files.delete(spark, f"{path}/dt={d}")]
 
 
 def write_dated(df: DataFrame, path: str, ts: str, codec: str = "lz4_raw") -> None:

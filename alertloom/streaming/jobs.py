@@ -36,9 +36,10 @@ def ingest_stream(lines: DataFrame, checkpoint: str, alerts: str, dead: str, tim
 
 
 def decode(messages: DataFrame, schema: StructType) -> DataFrame:
-    """Records of JSON messages in column ``value``; messages that do not parse are dropped."""
+    """Records of JSON messages in column ``value``; messages that do not parse are dropped. Other columns are kept."""
+    kept = [c for c in messages.columns if c != "value"]
     record = F.from_json("value", schema)
-    return messages.select(record.alias("r")).filter(F.col("r.incident_id").isNotNull()).select("r.*")
+    return messages.select(*kept, record.alias("r")).filter(F.col("r.incident_id").isNotNull()).select(*kept, "r.*")
 
 
 def incidents_of(messages: DataFrame) -> DataFrame:
@@ -57,13 +58,17 @@ def score_stream(incidents: DataFrame, model: PipelineModel) -> DataFrame:
 def store_batch(scored: DataFrame, batch_id: int, table: str, docs: str, rejects: str) -> None:
     """Write one micro-batch to the table log, the document log and the rejects.
 
-    Within a batch, rows of one id are ordered by their time, so a retry writes the same. Every
-    sink is tried, and each replaces what an earlier attempt of the same batch left. If
+    Within a batch, rows of one id are ordered by ``_position``, their place in the source, and the line within a file; without one by
+    their time and content. So a retry writes the same. Every sink is tried, and each replaces what an earlier attempt of the same batch left. If
     any failed the batch fails, so the checkpoint makes Spark run it again.
     """
-    scored = scored.persist()
-    rows = store.store_rows(scored).withColumn("_seq", F.col("created_at"))
-    documents = store.documents(scored, F.col("`@timestamp`")).withColumn("_seq", F.lit(0))
+    if "_position" in scored.columns:
+        place = F.struct("_position.*", F.monotonically_increasing_id().alias("line"))
+    else:
+        place = F.struct(F.col("`@timestamp`").alias("time"), F.xxhash64(F.to_json(F.struct("*"))).alias("content"))
+    scored = scored.withColumn("_seq", place).persist()
+    rows = store.store_rows(scored, kept=["_seq"])
+    documents = store.documents(scored, F.col("_seq")).withColumn("_seq", F.lit(0))
     failures = []
     for name, write in (
         ("table", lambda: store.append_batch(store.accepted(rows), table, batch_id)),

@@ -217,3 +217,35 @@ def test_labels_hosts_and_probabilities(spark):
     assert g.get(rows, "nope").count() == 0
     hosts = g.host_share(g.top_hosts(rows)).collect()
     assert [h["share"] for h in hosts] == [100.0] * 4
+
+
+def test_table_outlives_batches_edits_and_compactions(spark, tmp_path):
+    from alertloom.operators.table import IncidentTable
+
+    def batch(*rows):
+        return table(spark, *rows).withColumn("_seq", F.monotonically_increasing_id())
+
+    def edit(**values):
+        return spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} string" for k in values))
+
+    def state():
+        return {r["id"]: (r["status"], r["assigned_to"], r["analyst_notes"], r["event_count"]) for r in t.read().collect()}
+
+    one, two, three = (f"{i:032d}" for i in (1, 2, 3))
+    t = IncidentTable(spark, str(tmp_path / "t"))
+    assert t.compact() is None and t.retire() == 0
+    t.append(batch(row(1), row(2)), 0)
+    first = state()
+    t.edit(edit(id=one, status="closed"), F.to_timestamp(F.lit("2027-01-01")), 0)
+    t.edit(edit(id=one, assigned_to="a", analyst_notes="n"), F.to_timestamp(F.lit("2027-01-02")), 1)
+    t.edit(edit(id=one, assigned_to="b"), F.to_timestamp(F.lit("2027-01-03")), 2)
+    assert state()[one] == ("closed", "b", "n", first[one][3]) and state()[two] == first[two]
+    assert t.compact() == 0 and state()[one][:3] == ("closed", "b", "n")
+    t.append(batch(row(1, **SECOND), row(3)), 1)
+    t.append(batch(row(1, **SECOND), row(3)), 1)  # a retry replaces it
+    before = state()
+    assert before[one][:3] == ("closed", "b", "n") and before[one][3] == SECOND["event_count"] and three in before
+    assert t.compact() == 1 and state() == before and t.compact() == 1
+    assert t.retire() > 0 and state() == before and t.retire() == 0
+    t.append(batch(row(2, **SECOND)), 2)
+    assert state()[two][3] == SECOND["event_count"] and state()[one] == before[one]
