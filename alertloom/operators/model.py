@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alertloom.constants import FEATURES, MODEL_TAG
 from alertloom.operators.features import features, training_set
+from alertloom.sources import files
 
 
 def train(rows: DataFrame, label: str = "label", inputs: list[str] | None = None,
@@ -29,14 +30,15 @@ def classes(model: PipelineModel) -> list[str]:
 
 
 def load_or_train(spark: SparkSession, path: str, rows: DataFrame | None = None) -> PipelineModel:
-    """The model saved at ``path``; trained on ``rows`` (the synthetic set) and saved if it does
-    not load."""
-    try:
+    """The model saved at ``path``; trained on ``rows`` (the synthetic set) and saved if there is none.
+
+    A model that is there and can't be read is an error, and stays as it is.
+    """
+    if files.exists(spark, path):
         return PipelineModel.load(path)
-    except Exception:  # any failure to read a model means training anew
-        model = train(rows if rows is not None else training_set(spark))
-        model.write().overwrite().save(path)
-        return model
+    model = train(rows if rows is not None else training_set(spark))
+    model.write().save(path)
+    return model
 
 
 def is_true_positive(confidence: Column, attack_class: Column) -> Column:
@@ -55,20 +57,22 @@ def inference(attack_class: Column, confidence: Column, probabilities: Column, t
     )
 
 
+def best_class(names: Column, p: Column) -> list[Column]:
+    """``attack_class``, ``confidence`` and ``probabilities`` of an array of probabilities in the order of ``names``. The first class
+    wins a tie."""
+    best = F.array_position(p, F.array_max(p)).cast("int")
+    return [F.element_at(names, best).alias("attack_class"), F.array_max(p).alias("confidence"), F.map_from_arrays(names, p).alias("probabilities")]
+
+
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """``attack_class``, ``confidence`` and ``probabilities`` per row; map-only, so it works on
-    streams. The first class wins a tie."""
+    streams."""
     names = F.array(*[F.lit(c) for c in classes(model)])
     kept = rows.columns
     # The fitted label indexer is only needed for its class names.
     scored = PipelineModel(stages=model.stages[1:]).transform(rows)
-    p = F.col("_p")
-    best = F.array_position(p, F.array_max(p)).cast("int")
     return scored.select(*[F.col(f"`{c}`") for c in kept], vector_to_array("_probability").alias("_p")).select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.element_at(names, best).alias("attack_class"),
-        F.array_max(p).alias("confidence"),
-        F.map_from_arrays(names, p).alias("probabilities"))
+        *[F.col(f"`{c}`") for c in kept], *best_class(names, F.col("_p")))
 
 
 def score(model: PipelineModel, incidents: DataFrame, at: Column | None = None) -> DataFrame:

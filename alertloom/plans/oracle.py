@@ -444,6 +444,12 @@ SELECT event_id, CAST(dense_rank() OVER (ORDER BY rule_id) - 1 AS INTEGER) AS ru
 SELECT event_id, label, CASE WHEN (rk - 1) * 10000 < n * 1500 THEN 'test' WHEN (rk - 1) * 10000 < n * 2996 THEN 'val' ELSE 'train' END AS split
 FROM (SELECT event_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(event_id)) AS rk,
   count(*) OVER (PARTITION BY label) AS n FROM labelled)""",
+    "q_argmax": _with(RAW) + """
+SELECT eid AS event_id, CASE WHEN a >= b AND a >= c THEN 'alert_storm' WHEN b >= c THEN 'benign' ELSE 'brute_force' END AS attack_class,
+  greatest(a, b, c) AS confidence, b AS p_benign
+FROM (SELECT eid, (event_id % 7) / 16.0::DOUBLE AS a, (event_id % 5) / 16.0::DOUBLE AS b, (event_id % 3) / 16.0::DOUBLE AS c FROM raw)""",
+    "q_folds": LABELS + """
+SELECT event_id, label, CAST(row_number() OVER (PARTITION BY label ORDER BY md5(event_id)) % 5 AS INTEGER) AS fold FROM labelled""",
     "q_report": PREDICTIONS + """
 SELECT label, round("precision", 9) AS "precision", round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM per_class
 UNION ALL SELECT 'accuracy', a, a, a, n FROM (SELECT round(sum(hits)::DOUBLE / sum(support), 9) AS a, sum(support)::BIGINT AS n FROM per_class)

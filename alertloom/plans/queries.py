@@ -700,6 +700,24 @@ def s_store(spark, sf_dir):
         F.array_join("target_hosts", ",").alias("target_hosts"), "event_count", "status")
 
 
+@query
+def q_argmax(spark, sf_dir):
+    """Class, confidence and probability map of probability vectors with ties, one for each alert."""
+    n = F.col("_event_id").cast("long")
+    p = F.array(*[(n % k).cast("double") / 16 for k in (7, 5, 3)])
+    rows = d.raw_alerts(spark, sf_dir).select("_event_id", p.alias("p"))
+    names = F.array(*[F.lit(c) for c in ("alert_storm", "benign", "brute_force")])
+    return rows.select("_event_id", *classifier.best_class(names, F.col("p"))).select(
+        F.col("_event_id").alias("event_id"), "attack_class", "confidence", F.col("probabilities")["benign"].alias("p_benign"))
+
+
+@query
+def q_folds(spark, sf_dir):
+    """Cross-validation fold of every labelled alert."""
+    rows = d.labelled(spark, sf_dir).select("event_id", "label", F.md5("event_id").alias("digest"))
+    return evaluate.with_folds(rows, "digest", 5).select("event_id", "label", F.col("_fold").alias("fold"))
+
+
 # --- model ----------------------------------------------------------------------------------
 
 
