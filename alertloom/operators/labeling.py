@@ -1,18 +1,20 @@
 """Ground-truth labels: alerts joined to the attack runs whose padded window holds them."""
 
 from collections.abc import Iterator
+from functools import reduce
 from heapq import heappop, heappush
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from alertloom.functions.columns import micros
-from alertloom.functions.sizing import BROADCAST_BYTES, estimated_bytes
+from alertloom.functions.sizing import BROADCAST_BYTES
+from alertloom.session import shared_dir
 from alertloom.sources.alerts import alert_time
 
 BUCKET_SECONDS = 600
-# A run gives two pieces of the time line and one more per bucket it spans.
-RUN_LOG_BROADCAST_BYTES = BROADCAST_BYTES // 16
+# Pieces of some 100 bytes each that may be broadcast.
+PIECES_BROADCAST = BROADCAST_BYTES // 400
 
 
 def _iso(ts: Column) -> Column:
@@ -22,83 +24,96 @@ def _iso(ts: Column) -> Column:
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))
 
 
-_PIECE = ("bucket bigint, from_us bigint, until_us bigint, first bigint, "
-          "targeted array<struct<run_idx: bigint, target: string>>")
+_PIECE = "bucket bigint, source string, from_us bigint, until_us bigint, run_idx bigint"
 
 
 def _sweep(width: int):
-    """Kernel: opening and closing marks of runs in time order to pieces of the time line."""
-    schema = pa.schema([
-        ("bucket", pa.int64()), ("from_us", pa.int64()), ("until_us", pa.int64()), ("first", pa.int64()),
-        ("targeted", pa.list_(pa.struct([("run_idx", pa.int64()), ("target", pa.string())])))])
+    """Kernel: opening and closing marks of runs, sorted by (bucket, source) and time, to pieces of the time line with the first of
+    the runs active there. A mark gives one piece at most."""
+    schema = pa.schema([("bucket", pa.int64()), ("source", pa.string()), ("from_us", pa.int64()), ("until_us", pa.int64()), ("run_idx", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, since = None, None
-        active: dict[str, list[int]] = {}  # target -> heap of runs
-        closed: set[int] = set()  # closed runs still inside a heap
-
-        def piece(until):
-            tops = []
-            for target in list(active):
-                heap = active[target]
-                while heap and heap[0] in closed:
-                    closed.discard(heappop(heap))
-                if heap:
-                    tops.append((heap[0], target))
-                else:
-                    del active[target]
-            if not tops:
-                return []
-            tops.sort()
-            return [{"bucket": bucket, "from_us": since, "until_us": until, "first": tops[0][0],
-                     "targeted": [{"run_idx": i, "target": t} for i, t in tops if t]}]
+        group, since = None, None
+        active: list[int] = []  # heap of runs
+        closed: set[int] = set()  # closed runs still inside the heap
+        out: list[tuple] = []
+
+        def piece(until: int) -> None:
+            while active and active[0] in closed:
+                closed.discard(heappop(active))
+            if active:
+                out.append((*group, since, until, active[0]))
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
-            out = []
-            names = ("_start", "bucket", "at_us", "opens", "target", "run_idx")
-            for start, number, at, opens, target, idx in zip(*(batch.column(n).to_pylist() for n in names)):
-                if start:
-                    if bucket is not None:
-                        out += piece((bucket + 1) * width - 1)
-                    bucket, active, closed = number, {}, set()
+            names = ("bucket", "source", "at_us", "opens", "run_idx")
+            for bucket, source, at, opens, idx in zip(*(batch.column(n).to_pylist() for n in names)):
+                if group != (bucket, source):
+                    if group:
+                        piece((group[0] + 1) * width - 1)
+                    group, since = (bucket, source), at
+                    active.clear()
+                    closed.clear()
                 elif at > since:
-                    out += piece(at - 1)
-                since = at
+                    piece(at - 1)
+                    since = at
                 if opens:
-                    heappush(active.setdefault(target, []), idx)
+                    heappush(active, idx)
                 else:
                     closed.add(idx)
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
-        if bucket is not None and (last := piece((bucket + 1) * width - 1)):
-            yield pa.RecordBatch.from_pylist(last, schema=schema)
+                yield batch_of(out)
+                out.clear()
+        if group:
+            piece((group[0] + 1) * width - 1)
+        if out:
+            yield batch_of(out)
 
     return run
 
 
-def segments(windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """The time line cut wherever a run window starts or ends, with the runs active in each piece.
+def targets_in(sources: DataFrame, windows: DataFrame) -> DataFrame:
+    """(source, target) for every non-empty target that is part of a source: an equi-join of the sources' substrings, of the lengths
+    that targets have, with the targets."""
+    targets = windows.select("target").filter("target != ''").distinct()
+    lengths = targets.select(F.length("target").alias("_n")).distinct().agg(F.array_sort(F.collect_set("_n")).alias("_lengths"))
+    size = F.length("source")
+    parts = F.array_distinct(F.flatten(F.transform("_lengths", lambda n: F.when(n <= size, F.transform(
+        F.sequence(F.lit(1), size - n + 1), lambda i: F.substr(F.col("source"), i, n))).otherwise(F.array().cast("array<string>")))))
+    # One value: the distinct lengths of targets, as many as the longest target has characters at most.
+    cut = sources.withColumn("_lengths", F.coalesce(lengths.scalar(), F.array().cast("array<int>")))
+    return cut.select("source", F.explode(parts).alias("target")).join(targets, "target").select("source", "target")
+
 
-    Pieces lie within one time bucket and have ``first``, the place in the file of the active
-    run that comes first, and ``targeted``, the same per non-empty target, in file order (as
-    many entries as machines under test at that moment). Windows include both their ends.
-    A bucket is swept once in time order, so overlapping runs are never paired.
+def segments(windows: DataFrame, pairs: DataFrame, bounds: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """The time line cut wherever a run window starts or ends: (bucket, source, from_us, until_us, run_idx).
+
+    Pieces without a source have the first, in file order, of all runs active; those of a source, the first of the runs whose target
+    is part of it (``pairs``). Pieces lie within one time bucket, windows include both their ends, and only buckets within ``bounds`` (one row: first
+    and last bucket of the alerts) are made, however long a window is. Every bucket and source is swept once in time order, so
+    there are at most as many pieces as marks.
     """
     width = bucket_seconds * 1_000_000
     opening = F.col("bucket") * width
+    runs = windows.select(
+        F.coalesce("target", F.lit("")).alias("target"), F.col("run_idx").cast("long").alias("run_idx"),
+        micros(F.col("start_ts")).alias("start_us"), micros(F.col("end_ts")).alias("end_us")).filter(F.col("start_us") <= F.col("end_us"))
+    of_source = runs.join(pairs, "target").select("source", "run_idx", "start_us", "end_us")
+    every = runs.select(F.lit(None).cast("string").alias("source"), "run_idx", "start_us", "end_us").unionByName(of_source)
+    low = F.greatest(F.expr(f"start_us div {width}"), bounds.select("_low").scalar())
+    high = F.least(F.expr(f"end_us div {width}"), bounds.select("_high").scalar())
     marks = (
-        windows.select(
-            F.coalesce("target", F.lit("")).alias("target"), F.col("run_idx").cast("long").alias("run_idx"),
-            micros(F.col("start_ts")).alias("start_us"), micros(F.col("end_ts")).alias("end_us"))
-        .filter(F.col("start_us") <= F.col("end_us"))
-        .withColumn("bucket", F.explode(F.sequence(F.expr(f"start_us div {width}"), F.expr(f"end_us div {width}"))))
-        .select("bucket", "target", "run_idx", F.inline(F.array(
+        every.withColumn("_first", low).withColumn("_last", high).filter("_first <= _last")
+        .withColumn("bucket", F.explode(F.sequence("_first", "_last")))
+        .select("bucket", "source", "run_idx", F.inline(F.array(
             F.struct(F.greatest("start_us", opening).alias("at_us"), F.lit(True).alias("opens")),
             F.struct((F.col("end_us") + 1).alias("at_us"), F.lit(False).alias("opens")))))
         .filter(F.expr(f"at_us div {width}") == F.col("bucket"))
     )
-    order = Window.partitionBy("bucket").orderBy("at_us", F.desc("opens"), "run_idx")
-    return marks.withColumn("_start", F.lag("at_us").over(order).isNull()).mapInArrow(_sweep(width), _PIECE)
+    dealt = marks.repartition("bucket", "source").sortWithinPartitions("bucket", "source", "at_us", F.desc("opens"), "run_idx")
+    return dealt.select("bucket", "source", "at_us", "opens", "run_idx").mapInArrow(_sweep(width), _PIECE)
 
 
 def label_alerts(alerts: DataFrame, windows: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
@@ -106,26 +121,33 @@ def label_alerts(alerts: DataFrame, windows: DataFrame, bucket_seconds: int = BU
 
     Of several candidate runs, the first in file order whose target is part of the alert's
     source address wins, else the first in file order. The choice is prepared on the side of
-    the runs, so an alert meets one piece of the time line at most: alerts are neither
-    multiplied nor grouped, and with a run log small enough to broadcast they are not shuffled.
-    A larger one is joined on the time bucket, where adaptive execution splits full buckets.
+    the runs, so an alert meets one piece of all runs and one of its source at most: alerts are neither
+    multiplied nor grouped. The pieces are stored and counted; if they are few they are broadcast and
+    the alerts not shuffled, else both are joined on the time bucket, where adaptive execution splits full buckets.
     """
+    shared_dir(alerts.sparkSession)
     timed = alerts.withColumn("alert_ts", alert_time()).withColumn("_us", micros(F.col("alert_ts"))).withColumn(
-        "_bucket", F.expr(f"_us div {bucket_seconds * 1_000_000}"))
-    pieces = segments(windows, bucket_seconds)
+        "_bucket", F.expr(f"_us div {bucket_seconds * 1_000_000}")).withColumn("_source", F.coalesce("data.srcip", F.lit("")))
+    bounds = timed.agg(F.min("_bucket").alias("_low"), F.max("_bucket").alias("_high"))
+    pairs = targets_in(timed.select(F.col("_source").alias("source")).filter("source != ''").distinct(), windows)
+    pieces = segments(windows, pairs, bounds, bucket_seconds).checkpoint()
+    few = pieces.count() <= PIECES_BROADCAST
     runs = windows.select("run_idx", "attack_class", "scenario_id", "run_id")
-    if estimated_bytes(windows) <= RUN_LOG_BROADCAST_BYTES:
-        pieces, runs = F.broadcast(pieces), F.broadcast(runs)
-    met = timed.join(
-        pieces, (F.col("_bucket") == F.col("bucket")) & F.col("_us").between(F.col("from_us"), F.col("until_us")))
-    source = F.coalesce("data.srcip", F.lit(""))
-    matching = F.filter("targeted", lambda t: source.contains(t["target"]))
-    chosen = F.coalesce(F.when(source != "", F.get(matching, 0)["run_idx"]), F.col("first"))
+
+    def met(left: DataFrame, own: DataFrame, out: str, how: str, *same: Column) -> DataFrame:
+        own = own.withColumnsRenamed({"run_idx": out, "from_us": "_from", "until_us": "_until"})
+        on = reduce(lambda a, b: a & b, same, (F.col("_bucket") == F.col("bucket")) & F.col("_us").between(F.col("_from"), F.col("_until")))
+        return left.join(F.broadcast(own) if few else own, on, how).drop("bucket", "source", "_from", "_until")
+
+    found = met(timed, pieces.filter("source is null").drop("source"), "_any", "inner")
+    found = met(found, pieces.filter("source is not null"), "_own", "left", F.col("_source") == F.col("source"))
+    if few:
+        runs = F.broadcast(runs.join(F.broadcast(pieces.select("run_idx").distinct()), "run_idx", "left_semi"))
 
     def text(column: str) -> Column:
         return F.coalesce(F.col(column), F.lit(""))
 
-    return met.withColumn("run_idx", chosen).join(runs, "run_idx").select(
+    return found.withColumn("run_idx", F.coalesce("_own", "_any")).join(runs, "run_idx").select(
         F.col("attack_class").alias("label"), "scenario_id", "run_id",
         text("rule.id").alias("rule_id"), text("rule.level").alias("rule_level"),
         text("rule.description").alias("rule_description"),

@@ -89,16 +89,29 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labeling.label_alerts(raw_alerts(spark, sf_dir), windows(spark, sf_dir))
 
 
+_labelled: dict[tuple[str, str], str] = {}
+
+
+def stored_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled set of a folder, written once per application: splits, codes and metrics all start from it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _labelled:
+        path = work_path(spark, "labelled", sf_dir.strip("/").replace("/", "_"))
+        labelled(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _labelled[key] = path
+    return spark.read.parquet(_labelled[key])
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled alerts with a stand-in prediction and probability."""
-    return labelled(spark, sf_dir).select(
+    return stored_labelled(spark, sf_dir).select(
         "event_id", "run_id", "label", "rule_level",
         lookup(ALERT_CLASS, F.col("rule_id")).alias("prediction"),
         ((F.col("event_id").cast("long") % 101) / 100.0).alias("prob"))
 
 
 def class_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labelled(spark, sf_dir).select("label").distinct()
+    return stored_labelled(spark, sf_dir).select("label").distinct()
 
 
 def firewall_events(spark: SparkSession, sf_dir: str) -> DataFrame:

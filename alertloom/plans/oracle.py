@@ -431,6 +431,9 @@ more_names AS (SELECT id, CASE WHEN list_contains(a, source_ip) THEN a ELSE list
 every_name AS (SELECT id, CASE WHEN list_contains(a, agent_ip) THEN a ELSE list_append(a, agent_ip) END AS a FROM more_names)
 SELECT id, a[1] || ',' || a[2] AS shown, CAST(len(a) - 2 AS INTEGER) AS more FROM every_name""",
     "q_label": LABELS + "\nSELECT * EXCLUDE (event_no) FROM labelled",
+    "q_label_csv": LABELS + "\nSELECT * EXCLUDE (event_no) FROM labelled",
+    "q_label_dense": _with(RAW, LABELLED.replace("end_s * 1000000 + 5000000", "(end_s + 1728000) * 1000000 + 5000000")) + """
+SELECT run_id, count(*) AS n FROM labelled GROUP BY run_id""",
     "q_label_stats": LABELS + """
 SELECT count(*) AS matched, (SELECT count(*) FROM events) - count(*) AS skipped FROM labelled""",
     "q_class_dist": LABELS + "\nSELECT label, count(*) AS n FROM labelled GROUP BY label",

@@ -472,6 +472,22 @@ def q_label(spark, sf_dir):
     return d.labelled(spark, sf_dir)
 
 
+@query
+def q_label_csv(spark, sf_dir):
+    """The same labels from a run log in several CSV files, in the order of their names and lines."""
+    path = work_path(spark, "runs", uuid.uuid4().hex)
+    runs = ev.run_log(ev.table(spark, sf_dir, "customer")).repartitionByRange(3, "run_idx").sortWithinPartitions("run_idx")
+    runs.drop("run_idx").write.option("header", True).option("escape", '"').csv(path)
+    return labeling.label_alerts(d.raw_alerts(spark, sf_dir), tables.run_windows(tables.read_run_log(spark, path)))
+
+
+@query
+def q_label_dense(spark, sf_dir):
+    """How many alerts each run gets when the windows of all runs overlap."""
+    windows = d.windows(spark, sf_dir).withColumn("end_ts", F.col("end_ts") + F.expr("INTERVAL 20 DAYS"))
+    return labeling.label_alerts(d.raw_alerts(spark, sf_dir), windows).groupBy("run_id").agg(F.count("*").alias("n"))
+
+
 @query
 def q_label_stats(spark, sf_dir):
     """Alerts matched and skipped."""
@@ -481,26 +497,26 @@ def q_label_stats(spark, sf_dir):
 @query
 def q_class_dist(spark, sf_dir):
     """Labelled alerts per class."""
-    return evaluate.class_distribution(d.labelled(spark, sf_dir))
+    return evaluate.class_distribution(d.stored_labelled(spark, sf_dir))
 
 
 @query
 def q_encode(spark, sf_dir):
     """Encoded inputs of every labelled alert."""
-    return evaluate.encode(d.labelled(spark, sf_dir)).select(
+    return evaluate.encode(d.stored_labelled(spark, sf_dir)).select(
         "event_id", "rule_id_enc", "agent_name_enc", "rule_groups_enc", "rule_level")
 
 
 @query
 def q_group_split(spark, sf_dir):
     """Split of every run."""
-    return evaluate.group_split(d.labelled(spark, sf_dir))
+    return evaluate.group_split(d.stored_labelled(spark, sf_dir))
 
 
 @query
 def q_strat_split(spark, sf_dir):
     """Split of every labelled alert, per class."""
-    rows = d.labelled(spark, sf_dir).select("event_id", "label", F.md5("event_id").alias("digest"))
+    rows = d.stored_labelled(spark, sf_dir).select("event_id", "label", F.md5("event_id").alias("digest"))
     return evaluate.stratified_split(rows, "digest").select("event_id", "label", "split")
 
 
@@ -714,7 +730,7 @@ def q_argmax(spark, sf_dir):
 @query
 def q_folds(spark, sf_dir):
     """Cross-validation fold of every labelled alert."""
-    rows = d.labelled(spark, sf_dir).select("event_id", "label", F.md5("event_id").alias("digest"))
+    rows = d.stored_labelled(spark, sf_dir).select("event_id", "label", F.md5("event_id").alias("digest"))
     return evaluate.with_folds(rows, "digest", 5).select("event_id", "label", F.col("_fold").alias("fold"))
 
 
@@ -747,7 +763,7 @@ def s_score(spark, sf_dir):
 @query
 def ml_grid(spark, sf_dir):
     """Cross-validated macro-F1 of every forest of the grid on the training runs' alerts."""
-    rows = d.labelled(spark, sf_dir)
+    rows = d.stored_labelled(spark, sf_dir)
     encoded = evaluate.encode(rows).withColumn("digest", F.md5("event_id"))
     train, _ = evaluate.split(encoded, "digest")
     inputs = [f"{c}_enc" for c in evaluate.CATEGORICAL] + ["rule_level"]
@@ -762,7 +778,7 @@ def ml_grid(spark, sf_dir):
 @query
 def ml_report(spark, sf_dir):
     """Classification report, on the test runs, of a forest trained on the training runs."""
-    rows = evaluate.encode(d.labelled(spark, sf_dir)).withColumn("digest", F.md5("event_id"))
+    rows = evaluate.encode(d.stored_labelled(spark, sf_dir)).withColumn("digest", F.md5("event_id"))
     parts, _ = evaluate.split(rows, "digest")
     inputs = [f"{c}_enc" for c in evaluate.CATEGORICAL] + ["rule_level"]
     model = classifier.train(parts.filter("split = 'train'"), inputs=inputs)

@@ -156,3 +156,33 @@ def test_model_on_the_test_split(spark, tmp_path):
     top = ev.calibration(got.withColumn("prob", F.col("probabilities")["a"])).collect()
     assert sum(r["n"] for r in top) == 300
     assert (tmp_path / "best" / "metadata").exists()
+
+
+def test_pieces_of_overlapping_runs_grow_with_the_runs(spark):
+    counts = []
+    for n in (100, 400):
+        run_rows = [(i, 5000 + i, f"10.0.{i // 250}.{i % 250}.") for i in range(n)]
+        alert_rows = [(4000, "10.0.0.7.1"), (4000, "8.8.8.8"), (4000, None)]
+        windows = run_windows(runs(spark, run_rows), 0)
+        timed = alerts(spark, alert_rows)
+        sources = timed.select(F.col("data.srcip").alias("source")).filter("source is not null").distinct()
+        pairs = labeling.targets_in(sources, windows)
+        assert [tuple(r) for r in pairs.collect()] == [("10.0.0.7.1", "10.0.0.7.")]
+        bounds = spark.sql("SELECT 0L AS _low, 10000000L AS _high")
+        counts.append(labeling.segments(windows, pairs, bounds, 100_000_000).count())
+        assert label(spark, alert_rows, run_rows) == {0: "c7", 1: "c0", 2: "c0"}
+    assert counts[1] <= 4 * counts[0] + 4 and counts[0] <= 2 * 100 + 2
+
+
+def test_endless_window_costs_no_more_than_the_alerts_span(spark):
+    got = label(spark, [(105, "x"), (900, "x")], [(100, 4_000_000_000, "")], bucket=1)
+    assert got == {0: "c0", 1: "c0"}
+
+
+def test_boosted_search_has_a_learning_rate(spark):
+    rnd = random.Random(2)
+    rows = [(c, float("abc".index(c) * 3 + rnd.random()), rnd.random(), f"{i:04x}") for i, c in enumerate("abc" * 20)]
+    df = spark.createDataFrame(rows, "label string, x double, y double, digest string").withColumn("digest", F.md5("digest"))
+    search, names = ev.boosted_search(df, ["x", "y"], "digest", depths=(2,), rounds=(2,), steps=(0.05, 0.5), parallelism=1)
+    assert names == ["a", "b", "c"] and len(search.avgMetrics) == 2 and max(search.avgMetrics) > 0.9
+    assert {p.name for g in search.getEstimatorParamMaps() for p in g} == {"maxDepth", "maxIter", "stepSize"}
