@@ -6,6 +6,7 @@ window, fires when it reaches the threshold and then starts again. So with match
 threshold-th match of a session fires.
 """
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,6 +17,7 @@ from alertloom.functions.columns import lookup
 from alertloom.operators.distinct import fire_distinct
 from alertloom.operators.rules import Rule, fan_out, match_counts
 from alertloom.operators.skew import TARGET_ROWS, with_chunks
+from alertloom.session import work_path
 
 KEYS = ["rule_id", "key"]
 CHUNK = [*KEYS, "chunk"]
@@ -79,20 +81,32 @@ def fire_counter(hits: DataFrame, split: str = "auto", target_rows: int = TARGET
 def fire(alerts: DataFrame, rules: Sequence[Rule], split: str = "auto",
          target_rows: int = TARGET_ROWS) -> DataFrame:
     """Firings of all rules. Counter rules share one shuffle, so do the distinct rules, and
-    rules with threshold 1 fire on every match without any."""
-    instant = [r for r in rules if r.threshold == 1]
-    counters = [r for r in rules if r.threshold > 1 and r.member is None]
-    distinct = [r for r in rules if r.threshold > 1 and r.member is not None]
+    rules with threshold 1 fire on every match without any.
+
+    The alerts are read and matched once: their hits are landed in the shared folder, and every later pass
+    (counting, slicing, the branches) reads from there the columns it needs.
+    """
+    hits = landed(fan_out(alerts, rules))
+    instant = [r.id for r in rules if r.threshold == 1]
+    counters = [r.id for r in rules if r.threshold > 1 and r.member is None]
+    distinct = [r.id for r in rules if r.threshold > 1 and r.member is not None]
     parts = []
     if instant:
-        parts.append(fan_out(alerts, instant).drop("member"))
+        parts.append(hits.filter(F.col("rule_id").isin(instant)).drop("member"))
     if counters:
-        parts.append(fire_counter(fan_out(alerts, counters).drop("member"), split, target_rows))
+        parts.append(fire_counter(hits.filter(F.col("rule_id").isin(counters)).drop("member"), split, target_rows))
     if distinct:
-        parts.append(fire_distinct(fan_out(alerts, distinct), split, target_rows).drop("member"))
+        parts.append(fire_distinct(hits.filter(F.col("rule_id").isin(distinct)), split, target_rows).drop("member"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def landed(hits: DataFrame) -> DataFrame:
+    spark = hits.sparkSession
+    path = work_path(spark, "hits", uuid.uuid4().hex)
+    hits.write.parquet(path)
+    return spark.read.schema(hits.schema).parquet(path)
+
+
 def build_incidents(fired: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Incident records of firings.
 
