@@ -8,8 +8,8 @@ confirmed on the full sets.
 
 Documents with the same set are one class, represented by its smallest id; only classes are compared. A bucket of a band is not
 expanded into pairs. Its members are compared to one of them, its hub (the member with the most company over all
-bands); what is then still apart from another member is compared in blocks, by the sketches, and only pairs that
-are estimated near and belong to different components are passed on to be confirmed. Which link is found first doesn't
+bands); what is then still apart from another member is compared in blocks: pairs of different components that
+the sketches estimate near are confirmed there on their full sets, and only links leave the block. Which link is found first doesn't
 matter, as a link within a component changes nothing.
 
 Defined cases: null text counts as empty. A document without words has an empty set, is linked to nothing and stays. Repeated rows
@@ -34,8 +34,8 @@ REGISTERS = 1 << BUCKET_BITS
 MANTISSA = 10
 #: The probability with which a link just at the threshold may share no band.
 MISS = 1e-6
-#: An estimate may be so far below the threshold; six standard errors of ``REGISTERS`` registers and more.
-SLACK = 0.2
+#: An estimate may be so far below the threshold: five standard errors of ``REGISTERS`` registers.
+SLACK = 0.18
 #: Members of a block of a bucket.
 BLOCK = 256
 
@@ -164,29 +164,48 @@ def _near(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(hub), pa.array(other), pa.array(near[keep])], ["hub", "id", "near"])
 
 
-def _apart(batches: Iterator[pa.RecordBatch], least: float, rows: int) -> Iterator[pa.RecordBatch]:
-    """Of sorted rows (key, low, high, side, id, component, n, band, registers) the pairs of a block (key, low, high) that are of different
-    components, of different sides if low isn't high, estimated near, and share no earlier band."""
-    def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key, low, high, side, ids, component, n, band = (batch.column(i).to_numpy() for i in range(8))
-        sketches = _sketches(batch.column(8))
+def same_size(a: np.ndarray, b: np.ndarray) -> int:
+    """The size of the intersection of two sorted sets that aren't empty."""
+    at = np.searchsorted(b, a)
+    return int((b[np.minimum(at, len(b) - 1)] == a).sum())
+
+
+def _apart(batches: Iterator[pa.RecordBatch], least: float, rows: int, share: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Links between the members of a block (key, low, high) that are of different components, of different sides if low isn't
+    high, estimated near, share no earlier band, and have ``share`` of their sets in common. The rows (key, low, high, side, id,
+    component, band, shingles) are sorted. A link found joins two components, between which no further one is looked for."""
+    order, (of, in_) = probes(), share
+
+    def links(batch: pa.RecordBatch) -> pa.RecordBatch:
+        key, low, high, side, ids, component, band = (batch.column(i).to_numpy() for i in range(7))
+        offsets, values = batch.column(7).offsets.to_numpy(), batch.column(7).values.to_numpy().view(np.uint64)
+        n = np.diff(offsets)
+        _, first, place = np.unique(ids, return_index=True, return_inverse=True)
+        sketches = np.array([registers(values[offsets[i] : offsets[i + 1]], order) for i in first])[place]
+        to: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while x in to:
+                x = to[x]
+            return x
+
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
         ends = np.repeat(np.r_[new[1:], len(key)], np.diff(np.r_[new, len(key)]))
-        us, vs = [], []
-        step = 1
-        at = np.arange(len(key))
+        found, step, at = [], 1, np.arange(len(key))
         while len(at := at[at + step < ends[at]]):
             a = at[(component[at] != component[at + step]) & ((low[at] == high[at]) | (side[at] != side[at + step]))]
             if len(a):
-                near = estimate(sketches[a], sketches[a + step], collision(n[a], n[a + step])) >= least
-                a = a[near]
+                a = a[estimate(sketches[a], sketches[a + step], collision(n[a], n[a + step])) >= least]
                 same = (sketches[a] == sketches[a + step])[:, : REGISTERS // rows * rows].reshape(len(a), REGISTERS // rows, rows).all(axis=2)
-                a = a[same.argmax(axis=1) == band[a]]
-                us.append(ids[a])
-                vs.append(ids[a + step])
+                for i in a[same.argmax(axis=1) == band[a]].tolist():
+                    x, y = root(int(component[i])), root(int(component[i + step]))
+                    if x != y:
+                        both = same_size(values[offsets[i] : offsets[i + 1]], values[offsets[i + step] : offsets[i + step + 1]])
+                        if both * in_ >= int(n[i] + n[i + step] - both) * of:
+                            to[x] = y
+                            found.append((int(ids[i]), int(ids[i + step])))
             step += 1
-        u, v = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (us, vs))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v), pa.int64()), pa.array(np.maximum(u, v), pa.int64())], ["u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["u", "v"])
 
     held = None  # the last block so far, which the next batch may go on with
     for batch in batches:
@@ -199,16 +218,16 @@ def _apart(batches: Iterator[pa.RecordBatch], least: float, rows: int) -> Iterat
         cut = int(last[-1]) + 1 if len(last) else 0
         held = batch.slice(cut)
         if cut:
-            yield pairs(batch.slice(0, cut))
+            yield links(batch.slice(0, cut))
     if held is not None:
-        yield pairs(held)
+        yield links(held)
 
 
 class Linker:
     """Confirms candidate pairs of classes and keeps their components."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, share: tuple[int, int]):
-        self.docs, self.classes, self.width, self.share = docs, classes, width, share
+    def __init__(self, docs: DataFrame, width: int, share: tuple[int, int]):
+        self.docs, self.width, self.share = docs, width, share
         self.links: DataFrame | None = None
         self.found: DataFrame | None = None
 
@@ -219,19 +238,24 @@ class Linker:
         found = self.found.select(F.col("id").alias(column), F.col("component").alias("_c"))
         return salted_join(df, found, column, F.monotonically_increasing_id()).withColumn(out, F.coalesce("_c", column)).drop("_c")
 
-    def confirm(self, pairs: DataFrame) -> None:
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """id and shingles of the documents with these ids (a column doc_id); stored."""
+        texts = self.docs.select("doc_id", text_of().alias("text")).join(ids.distinct().hint("merge"), "doc_id", "left_semi")
+        return stored(texts.dropDuplicates(["doc_id"]).mapInArrow(partial(_sets, width=self.width), "id long, shingles array<long>"), "sets")
+
+    def add(self, links: DataFrame) -> None:
+        links = stored(links.select("u", "v"), "confirmed")
+        self.links = links if self.links is None else self.links.unionByName(links)
+        self.found = components(self.links)
+
+    def confirm(self, pairs: DataFrame, sets: DataFrame) -> None:
         """Link those of ``pairs`` (u, v) whose full sets have the share in common. Many pairs may have the same u."""
         pairs = stored(pairs, "pairs")
-        ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-        texts = self.docs.select("doc_id", text_of().alias("text")).join(ids, "doc_id", "left_semi")
-        sets = stored(texts.mapInArrow(partial(_sets, width=self.width), "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
-        both = pairs.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
+        both = pairs.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")).hint("merge"), "v")
         both = salted_join(both, sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u", F.col("v"), "inner", counts=pairs.groupBy("u").agg(F.count("*").alias("_n")))
         of, in_ = self.share
         shared = both.select("u", "v", (F.size("a") + F.size("b")).cast("long").alias("total"), F.size(F.array_intersect("a", "b")).cast("long").alias("same"))
-        links = stored(shared.filter(F.col("same") * in_ >= (F.col("total") - F.col("same")) * of).select("u", "v"), "confirmed")
-        self.links = links if self.links is None else self.links.unionByName(links)
-        self.found = components(self.links)
+        self.add(shared.filter(F.col("same") * in_ >= (F.col("total") - F.col("same")) * of))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -244,7 +268,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (4
     by_set = stored(sketches.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("id")).filter("id is not null"), "classes")
     classes = sketches.join(by_set.withColumnRenamed("id", "doc_id"), ["doc_id", "set_id"]).dropDuplicates(["doc_id"])
     classes = stored(classes.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "registers", "bands"), "classes")
-    linker = Linker(docs, classes, width, share)
+    linker = Linker(docs, width, share)
 
     # Buckets with company, and their hubs.
     bands = classes.select("id", F.posexplode("bands").alias("band", "key"))
@@ -261,24 +285,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, share: tuple[int, int] = (4
     pairs = pairs.select("hub", "id", "hub_n", "n", "hub_registers", "registers")
     pairs = stored(pairs.mapInArrow(partial(_near, least=least), "hub long, id long, near double"), "near")
     first = pairs.groupBy("id").agg(F.max(F.struct("near", "hub")).alias("p")).select(F.col("p.hub").alias("u"), F.col("id").alias("v"))
-    linker.confirm(first)
+    sets = linker.sets(pairs.select(F.explode(F.array("hub", "id")).alias("doc_id")))
+    linker.confirm(first, sets)
     rest = pairs.select(F.col("hub").alias("u"), F.col("id").alias("v")).join(first, ["u", "v"], "left_anti")
     rest = linker.component(linker.component(rest, "u", "cu"), "v", "cv").filter("cu != cv")
-    linker.confirm(rest.select("u", "v"))
+    linker.confirm(rest.select("u", "v"), sets)
 
     # Members that are still apart from another one than the hub, in blocks.
     others = stored(linker.component(members.filter("id != hub").filter("size > 2"), "id", "component"), "others")
     apart = others.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("_n")).filter("a != b")
     apart = stored(apart.select("key", "_n"), "apart")
-    others = salted_join(others.select("key", "band", "id", "component"), apart.withColumnRenamed("_n", "members"), "key", F.col("id"), "inner", counts=apart)
+    others = stored(salted_join(others.select("key", "band", "id", "component"), apart.withColumnRenamed("_n", "members"), "key", F.col("id"), "inner", counts=apart), "others")
     blocks = F.ceil(F.col("members") / BLOCK)
     others = others.withColumn("side", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    others = others.join(own, "id").select(
-        "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "id", "component", "n",
-        F.col("band").cast("long").alias("band"), "registers")
+    sets = linker.sets(others.select(F.col("id").alias("doc_id")))
+    others = others.join(sets.hint("merge"), "id").select(
+        "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "id", "component",
+        F.col("band").cast("long").alias("band"), "shingles")
     others = others.repartition(partitions(spark), "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
-    pairs = others.mapInArrow(partial(_apart, least=least, rows=rows), "u long, v long").distinct()
-    linker.confirm(pairs)
+    linker.add(others.mapInArrow(partial(_apart, least=least, rows=rows, share=share), "u long, v long"))
 
     found = by_set.join(linker.found, "id", "left").select("set_id", F.coalesce("component", "id").alias("component"))
     marked = salted_join(sketches.select("doc_id", "n_shingles", "set_id"), found, "set_id", F.col("doc_id"))

@@ -101,16 +101,25 @@ def test_bands_of_close_sets_meet():
     assert missed == 0
 
 
-def test_pairs_of_blocks_over_batches():
-    rnd = np.random.default_rng(4)
-    n, rows = 40, 5
-    sketches = np.repeat(rnd.integers(0, 9, (4, near_dedup.REGISTERS), np.uint16), 10, axis=0)
-    part = np.arange(n) // 20
-    table = [part, np.zeros(n), np.zeros(n), np.zeros(n), np.arange(n), np.arange(n) % 3, np.full(n, 100), np.zeros(n)]
-    batch = pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in table] + [pa.array([s.tobytes() for s in sketches])], list("abcdefghi"))
-    got = [(u, v) for b in near_dedup._apart((batch.slice(k, 7) for k in range(0, n, 7)), 0.9, rows) for u, v in zip(*(c.to_pylist() for c in b.columns))]
-    expected = [(u, v) for u, v in combinations(range(n), 2) if u // 10 == v // 10 and u % 3 != v % 3]
-    assert sorted(got) == expected
+def test_links_of_blocks_over_batches():
+    rnd, n, share = np.random.default_rng(4), 40, (85, 100)
+    base = [rnd.integers(0, 2**64, 200, np.uint64) for _ in range(4)]
+    sets = [np.unique(np.r_[base[i // 10], rnd.integers(0, 2**64, 5, np.uint64)]) for i in range(n)]
+    zero = np.zeros(n)
+    table = [np.arange(n) // 20, zero, zero, zero, np.arange(n), np.arange(n) // 10 * 10 + np.arange(n) % 3]
+    sketches = np.array([near_dedup.registers(s, near_dedup.probes()) for s in sets])
+    rows, links = near_dedup.band_rows(0.85), []
+    for band in range(near_dedup.REGISTERS // rows):  # every band a bucket, in which all have the same key
+        columns = [pa.array(x.astype(np.int64)) for x in [*table, zero + band]] + [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
+        batch = pa.RecordBatch.from_arrays(columns, list("abcdefgh"))
+        for b in near_dedup._apart((batch.slice(k, 7) for k in range(0, n, 7)), 0.6, rows, share):
+            links += zip(*(c.to_pylist() for c in b.columns))
+    assert links and all(u // 10 == v // 10 and u % 3 != v % 3 for u, v in links)
+    joined = {(g, c): (g, c) for g in range(4) for c in range(3)}
+    for u, v in links:
+        x, y = joined[u // 10, u % 3], joined[v // 10, v % 3]
+        joined = {k: y if r == x else r for k, r in joined.items()}
+    assert len(set(joined.values())) == 4 and len(sketches) == n
 
 
 def test_components_of_links(spark):
