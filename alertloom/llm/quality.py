@@ -125,11 +125,13 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([v.astype("<f4").tobytes() for _, v in made], pa.binary())], ["doc_id", "label", "of", "places", "values"])
 
 
-def train(labelled: DataFrame, each: int = EACH) -> np.ndarray:
-    """Weights from rows (doc_id, text, label: 0 or 1)."""
-    rows = labelled.filter("doc_id is not null and label in (0, 1)").select("doc_id", text_of().alias("text"), F.col("label").cast("int").alias("label"))
-    chosen = per_class(rows, "label", each, 2).select("doc_id", "text", "label", F.col("_of").alias("of"))
-    seen = chosen.mapInArrow(_vectors, "doc_id long, label int, of long, places binary, values binary").collect()  # 2 * each rows
+def train(docs: DataFrame, labels: DataFrame, each: int = EACH) -> np.ndarray:
+    """Weights from documents (doc_id, text) and labels (doc_id, label: 0 or 1). The sample is drawn from the labels, and its
+    2 * ``each`` rows go to the texts."""
+    rows = labels.filter("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
+    chosen = per_class(rows, "label", each, 2).select("doc_id", "label", F.col("_of").alias("of"))
+    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    seen = texts.select("doc_id", "text", "label", "of").mapInArrow(_vectors, "doc_id long, label int, of long, places binary, values binary").collect()  # 2 * each rows
     seen.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["places"])))
     n, of = [sum(r["label"] == k for r in seen) for k in (0, 1)], [max([r["of"] for r in seen if r["label"] == k], default=0) for k in (0, 1)]
     weights = np.zeros((1 << BITS) + 1)

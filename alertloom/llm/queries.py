@@ -54,7 +54,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~quality.held_out()).select("doc_id", F.col("quality").alias("label"))
-    scored = quality.score(docs, quality.train(docs.join(labels, "doc_id")))
+    scored = quality.score(docs, quality.train(docs, labels))
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -60,13 +60,13 @@ def test_quality_of_held_out_documents(spark):
 
 def test_quality_edge_cases(spark):
     docs = documents(spark)
-    rows = docs.select("doc_id", "text").withColumn("label", docs["doc_id"] % 3)
-    weights = quality.train(rows)
+    labels = docs.select("doc_id", (F.col("doc_id") % 3).alias("label"))
+    weights = quality.train(docs, labels)
     scores = {r["doc_id"]: r["score"] for r in quality.score(docs, weights).collect()}
     assert len(scores) == 13 and all(0 <= s <= 1 for s in scores.values())
-    one = quality.train(rows.filter("label = 1"))
+    one = quality.train(docs, labels.filter("label = 1"))
     assert all(r["score"] > 0.99 for r in quality.score(docs, one).collect())
-    none = quality.train(nothing(spark).select("doc_id", "text", F.col("n_chars").alias("label")))
+    none = quality.train(nothing(spark), nothing(spark).select("doc_id", F.col("n_chars").alias("label")))
     assert {r["score"] for r in quality.score(docs, none).collect()} == {0.5}
     assert quality.score(nothing(spark), weights).count() == 0
 
