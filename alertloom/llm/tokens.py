@@ -17,7 +17,7 @@ from alertloom.llm.shared import once
 PIECES = 400_000
 WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?|]?)")
 #: White space other than the blank and the line feed.
-RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 BEFORE_BLANK = re.compile(r"(?<=\S)(?= )")
 
 
