@@ -31,13 +31,28 @@ class Rule:
     version: int = 1
 
 
+# A private key with its body. With an END line after it, before any other five dashes: all up to there, whatever quotes, marks or
+# headers stand between. Without one: what follows on its line up to 40 Base64 characters in a row, and the Base64 lines under it,
+# which may be indented, quoted or commented; of a last line with other words its 40 or more Base64 characters. Groups are
+# repeated a bounded number of times, as Java repeats them on its stack; plain lines go on without bound. No syntax that RE2 lacks.
+KEY_HEAD = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+KEY_TO_END = r"[^-]*(?:--?-?-?[^-]+){0,400}-*-----END [A-Z ]{0,40}PRIVATE KEY-----"
+KEY_RUN = r"[A-Za-z0-9+/=\\]{40}[A-Za-z0-9+/=\\]*"
+KEY_ON_LINE = rf"[A-Za-z0-9+/=\\\x20\t]*{KEY_RUN}(?:[\x20\t]+[A-Za-z0-9+/]+={{1,2}})?"
+KEY_MARKS, KEY_AFTER = r"""[\x20\t>|#*"'-]*""", r"""[\x20\t"',;.]*"""
+KEY_LINES = (
+    rf"{KEY_AFTER}[\r\n]+(?:{KEY_MARKS}(?:Proc-Type|DEK-Info):[^\r\n]*[\r\n]+){{0,2}}"
+    rf"(?:(?:{KEY_MARKS}[A-Za-z0-9+/=\\]+{KEY_AFTER}(?:[\r\n]+|$)){{1,400}}(?:[A-Za-z0-9+/=\\\r\n]*(?:[\r\n]|$))?(?:{KEY_MARKS}{KEY_RUN})?|{KEY_MARKS}{KEY_RUN})"
+)
+PRIVATE = f"{KEY_HEAD}(?:{KEY_TO_END}|(?:{KEY_ON_LINE})?(?:{KEY_LINES})?)"
+
 # Kinds, patterns and least lengths of the base, in the order in which kinds are listed.
 RULES = [
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
     Rule("access", r"AKIA[A-Z0-9]{12,}"),  # as AKIA[A-Z0-9]+ of 16 or more: the run is taken whole from its first AKIA
     Rule("hex", r"[0-9a-f]{32,}"),
     # What the ledger adds to the base.
-    Rule("private", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private", PRIVATE, version=2),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),

@@ -1,5 +1,8 @@
+import base64
+import random
 import re
 
+import duckdb
 from edge import TEXTS, documents, nothing
 from pyspark.sql import functions as F
 
@@ -62,5 +65,45 @@ def test_redacted_texts(spark):
     assert got.filter("doc_id = 4").select(F.col("text").isNull()).first()[0]
 
 
+def private_keys():
+    """doc_id: a text with a private key, the pieces of its body, and what stays of the text around the mask."""
+    data = base64.b64encode(random.Random(1).randbytes(1217)).decode()
+    body = [data[at : at + 64] for at in range(0, len(data), 64)]
+    begin, end, lines = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "\n".join(body)
+    sealed = f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123\n\n{lines}\n"
+    long = [data] * 6000
+    return {k: (f"see\n{key}{rest}", body, rest) for k, (key, rest) in enumerate([
+        (f"{begin}\n{lines}\n{end}", "\nand on"),
+        (f"{begin}\r\n" + "\r\n".join(body) + f"\r\n{end}", " and on"),
+        (f"{begin} {' '.join(body)} {end}", " and on"),
+        (begin + "\\n" + "\\n".join(body) + "\\n" + end, '"}'),
+        ("-" + f"{begin}\n{lines}\n{end}".replace("\n", "\n-"), "\n+fixed"),
+        (sealed + end, "\n-----BEGIN CERTIFICATE-----\nabcd\n"),
+        (f"{begin}\n{lines}\n", "And on, in prose.\n"),
+        (f"{begin}\n{lines}", ""),
+        (sealed, "And on."),
+        (f"{begin}\n    " + "\n    ".join(body) + "\n", "    and: on"),
+        (f"{begin}\n> " + "\n> ".join(body) + "\n", "> and on"),
+        (f"{begin} {' '.join(body)}", ", and on"),
+        (f"{begin}\n" + "\n".join(body[:-1]), " and on"),
+        (f"{begin}\n{lines}\n", f"and then {begin[:10]} prose-with-marks " * 3000),
+        (begin, " is the first line-of-it " * 20000),
+        (f"{begin}\n" + "\n".join(long) + "\n", "and on"),
+        ("-" + f"{begin}\n" + "\n-".join(long[:390]) + "\n", "and on"),
+    ], 100)}
+
+
+def test_private_keys_go_with_their_bodies(spark):
+    keys = private_keys()
+    docs = documents(spark, [(k, text) for k, (text, _, _) in keys.items()])
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    rule = next(r for r in secret_scan.RULES if r.kind == "private")
+    assert rule.version == 2 and set(got) == set(keys)
+    for k, (text, body, rest) in keys.items():
+        assert got[k].removeprefix("see\n").removeprefix("-") == "[SECRET]" + rest, k
+        assert not any(piece in got[k] for piece in body), k
+        assert duckdb.execute("SELECT regexp_extract_all(?, ?)", [text, rule.pattern]).fetchone()[0] == re.findall(rule.pattern, text, re.ASCII), k
+
+
 def test_no_rows(spark):
     assert secret_scan.find_secrets(nothing(spark)).count() == 0 and secret_scan.redact(nothing(spark)).count() == 0
