@@ -169,13 +169,18 @@ def held_out(modulus: int = 3, rest: int = 1) -> Column:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is identified, with their own columns. The network learns from those not held out."""
+    """The rows of ``docs`` whose texts have a letter, with their own columns. The network learns from those not held out and names a
+    language for every text with a letter, however unlike its languages, so its answer removes no row. Without languages to learn
+    there is no network, and the letters alone decide."""
     langs, net = train(docs.filter(~held_out()))
     return docs.mapInArrow(partial(_keep, langs=langs, net=net), docs.schema)
 
 
 def _keep(batches: Iterator[pa.RecordBatch], langs: list[str], net: Network | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        if net is None:
+            yield batch.filter(pa.array([bool(t and LETTER.search(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
+            continue
         pair = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text")], ["doc_id", "text"])
         said = pa.Table.from_batches(_predict(iter([pair]), langs, net)).to_pydict()
         yield batch.filter(pa.array([n != UNKNOWN for n in said["lang_pred"]], pa.bool_()))

@@ -1,7 +1,7 @@
 """A cleaning pipeline over ``documents``, ending in packed sequences.
 
-Documents without an identified language go; of equal texts and of near-duplicates (runs of five words, similarity 0.8) the one with the
-smallest id stays; secrets are replaced in the texts that stay; what is left is packed. Each stage's result is written as Parquet
+Documents without a letter, for which the language stage has no answer, go; of equal texts and of near-duplicates (runs of five
+words, similarity 0.8) the one with the smallest id stays; secrets are replaced in the texts that stay; what is left is packed. Each stage's result is written as Parquet
 and read again as the next one's documents.
 """
 

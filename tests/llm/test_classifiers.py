@@ -28,6 +28,13 @@ def test_language_edge_cases(spark):
     assert {r["lang_pred"] for r in lang_id.identify(docs, [], None).collect()} == {"und"}
 
 
+def test_language_stage_keeps_an_unlabelled_corpus(spark):
+    docs = documents(spark, [*TEXTS, (50, "123 !?")]).withColumn("lang", F.lit(None).cast("string"))
+    kept = lang_id.keep_identified(docs)
+    assert lang_id.train(docs) == ([], None) and kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "2", "6", "7", "8", "9", "10", "11", "12", "12", "None"])
+
+
 def test_gradients_are_those_of_the_loss():
     rnd = np.random.default_rng(0)
     net, x, y = lang_id.Network(3), rnd.integers(1, 256, (5, lang_id.LENGTH)).astype(np.uint8), np.array([0, 1, 2, 1, 0])
