@@ -3,7 +3,8 @@
 The bytes of the lower-cased text are cut into windows of ``LENGTH``, the last filled up with zeros, and every window of the whole
 text is scored: an embedding of the bytes, filters of several widths, the maximum of each filter over the window, and a softmax. A
 text's probabilities are the mean over its windows, by the bytes they hold. The network is trained in numpy, by Adam, on a bounded sample of
-the labelled texts: ``EACH`` texts of a language, ``WINDOWS`` windows spread evenly over each.
+the labelled texts: ``EACH`` texts of a language, fewer of each if the languages are so many that these would be more than ``TEXTS`` in
+all, and ``WINDOWS`` windows spread evenly over each. Every language is learned.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text if there is nothing to learn from. Repeated
 rows get equal predictions. Rows without language or doc_id are not learned from.
@@ -24,8 +25,11 @@ from alertloom.llm.sampling import per_class
 
 LENGTH = 256
 EMBEDDING, WIDTHS, FILTERS = 8, (2, 3, 4), 8
-#: Texts of a language to learn from, languages, and windows of a text, at most.
-EACH, LANGUAGES, WINDOWS = 400, 200, 6
+#: Texts of a language to learn from, texts in all, and windows of a text, at most.
+EACH, TEXTS, WINDOWS = 400, 80_000, 6
+#: Of a language with so many texts or more about this many are drawn at least, however many languages there are; none is drawn of one in
+#: less than one of 10**8 cases.
+LEAST = 20
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -129,14 +133,17 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, each: int = EACH) -> tuple[list[str], Network | None]:
     """The languages and a network for them, from rows (doc_id, text, lang)."""
     rows = labelled.filter("doc_id is not null and lang is not null and text is not null").select("doc_id", "lang", "text")
-    chosen = per_class(rows, "lang", each, LANGUAGES).select("doc_id", "lang", "text")
-    seen = chosen.mapInArrow(_sample, "doc_id long, lang string, windows binary").collect()  # each * LANGUAGES rows of WINDOWS windows at most
+    languages = rows.select("lang").distinct().count()
+    each = min(each, max(LEAST, TEXTS // max(1, languages)))
+    chosen = per_class(rows, "lang", each).select("doc_id", "lang", "text")
+    seen = chosen.mapInArrow(_sample, "doc_id long, lang string, windows binary").collect()  # about TEXTS rows of WINDOWS windows at most, or LEAST a language
     seen.sort(key=lambda r: (r["lang"], r["doc_id"], r["windows"]))
     langs = sorted({r["lang"] for r in seen})
     if not langs:
         return [], None
     parts = [np.frombuffer(r["windows"], np.uint8).reshape(-1, LENGTH) for r in seen]
-    y = np.repeat([langs.index(r["lang"]) for r in seen], [len(p) for p in parts])
+    place = {name: k for k, name in enumerate(langs)}
+    y = np.repeat([place[r["lang"]] for r in seen], [len(p) for p in parts])
     return langs, fit(np.concatenate(parts), y, len(langs))
 
 

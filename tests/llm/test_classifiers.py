@@ -35,6 +35,17 @@ def test_language_stage_keeps_an_unlabelled_corpus(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "2", "6", "7", "8", "9", "10", "11", "12", "12", "None"])
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    docs = documents(spark, [(i, f"word{'abcdefghij'[i % 10]} and more") for i in range(420)], clashing=False)
+    many = docs.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 210))
+    assert len(lang_id.train(many)[0]) == 210
+    drawn = []
+    monkeypatch.setattr(lang_id, "fit", lambda x, y, classes: drawn.append(np.bincount(y, minlength=classes)))
+    monkeypatch.setattr(lang_id, "TEXTS", 120)
+    lang_id.train(docs.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 3)))
+    assert len(drawn[0]) == 3 and drawn[0].min() > 0 and 60 < drawn[0].sum() < 200
+
+
 def test_gradients_are_those_of_the_loss():
     rnd = np.random.default_rng(0)
     net, x, y = lang_id.Network(3), rnd.integers(1, 256, (5, lang_id.LENGTH)).astype(np.uint8), np.array([0, 1, 2, 1, 0])
