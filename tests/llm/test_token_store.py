@@ -8,7 +8,8 @@ from edge import TEXTS, documents, nothing
 from pyarrow import fs
 from tokenizers import Tokenizer
 
-from alertloom.llm import token_store
+from alertloom.llm import packing, token_store
+from alertloom.llm.tokens import from_file
 
 
 @pytest.mark.parametrize("width", [1, 5, 16, 17, 31, 32])
@@ -48,5 +49,13 @@ def test_documents(spark, monkeypatch, file_ids):
     assert sorted(got, key=lambda r: r[1]) == expected
 
 
+@pytest.mark.parametrize("name, words, special, n", [(packing.VOCABULARY, False, 50256, 9), (token_store.VOCABULARY, True, 49407, 8)])
+def test_special_strings_are_plain_text(name, words, special, n):
+    path, text = public_tokenizers.path(name), "a <|endoftext|> b"
+    ids = np.frombuffer(from_file(path, words).encode([text])[0], "<u4").tolist()
+    assert special not in ids and len(ids) == n
+    assert special in Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_no_rows(spark):
     assert token_store.token_index(nothing(spark)).count() == 0
