@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from alertloom.llm import bpe, chat, exact_dedup, fingerprint, lang_id, near_dedup, packing, quality, secret_scan, token_store
+from alertloom.llm import (
+    bpe, chat, exact_dedup, fingerprint, lang_id, near_dedup, packing, prefix_trie, quality, repair, secret_scan, token_store)
 from alertloom.llm.shared import stored, table, text_of
 
 
@@ -83,6 +84,19 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprint.likeness("anchors", "next_anchors").alias("near_next"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.digests(table(spark, sf_dir, "conversations"))))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = repair.repair_conversations(repair.damaged(rows)).withColumnRenamed("conv_id", "of")
+    every = rows.select("conv_id").distinct().join(repaired, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    lines = F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.sha2(F.coalesce(lines, F.lit("")), 256).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_output": op2_token_output,
@@ -94,4 +108,6 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_format": op9_chat_format,
     "op10_fingerprints": op10_fingerprints,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_conversation_repair": op12_conversation_repair,
 }
