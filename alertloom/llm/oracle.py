@@ -23,6 +23,23 @@ SELECT s.doc_id, len(s)::BIGINT AS n_shingles, min(c) AS component_id, s.doc_id
 FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, s
 """
 
+OP13 = r"""
+WITH RECURSIVE
+w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s
+  FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+l AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT l.v, r.c FROM r JOIN l ON r.doc_id = l.u)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, min(c) AS component_id FROM s JOIN r ON s.doc_id = r.doc_id GROUP BY s.doc_id, s
+"""
+
 OP5 = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents)
@@ -172,4 +189,5 @@ ORACLE = {
     "op9_chat_format": OP9,
     "op11_prefix_trie": OP11,
     "op12_conversation_repair": op12(),
+    "op13_ngram_join": OP13,
 }

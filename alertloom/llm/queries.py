@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from alertloom.llm import (
-    bpe, chat, exact_dedup, fingerprint, lang_id, near_dedup, packing, prefix_trie, quality, repair, secret_scan, token_store)
+    bpe, chat, exact_dedup, fingerprint, lang_id, near_dedup, ngram_join, packing, prefix_trie, quality, repair, secret_scan, token_store)
 from alertloom.llm.shared import stored, table, text_of
 
 
@@ -97,6 +97,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.sha2(F.coalesce(lines, F.lit("")), 256).alias("repaired_sha256"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), width=4, share=(85, 100))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_output": op2_token_output,
@@ -110,4 +114,5 @@ QUERIES = {
     "op10_fingerprints": op10_fingerprints,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_ngram_join": op13_ngram_join,
 }

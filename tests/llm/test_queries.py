@@ -18,7 +18,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 def test_pipeline_stages(spark):
