@@ -14,6 +14,9 @@ HARD = ["", " ", "  ", "a  b   c", "\n \n b", "foo\n \nbar", " \n  x", "I'll don
         "<|endoftext|> a", "ab" * 300, "\x1c a \x1c", "aaa aaaa aaaaaaaaaa", "ſKelvin K", "Ça été! Où? a|b"]
 
 
+HARD += ["a\nb", "\na", "a\n", "a\n\nb", "a.\n12 x", "\n", "é\nÉté.\nx", "a\n\n", "x \n", "a\n'll b", "Ab.\nCd, ef\n<|endoftext|>\n|"]
+
+
 def texts():
     rnd = random.Random(1)
     odd = ["".join(rnd.choice(" \n\ta.b,éЖ日1' s!|ſ ") for _ in range(rnd.randint(1, 40))) for _ in range(1500)]
@@ -38,6 +41,23 @@ def test_pieces_give_the_ids_of_whole_texts(name, words):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name, words", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_a_table_of_few_pieces_gives_the_same_ids(monkeypatch, name, words):
+    """Generations follow each other many times; a piece that is asked for again and again is encoded once."""
+    monkeypatch.setattr(tokens, "PIECES", 50)
+    all_texts = [t + " frequent" for t in texts()]
+    coder = (tokens.WordEncoder if words else tokens.ByteEncoder)(Tokenizer.from_file(public_tokenizers.path(name)))
+    seen, piece = [], coder.pieces.encode
+    coder.pieces.encode = lambda p: seen.append(p) or piece(p)
+    got = coder.encode([x for t in all_texts for x in t.split(" ")] if words else all_texts)
+    assert len(coder.pieces) <= 50 and len(coder.pieces.old) <= 50 and len(seen) > 500
+    assert seen.count(b"frequent" if words else "frequent") == 1
+    if not words:
+        whole = Tokenizer.from_file(public_tokenizers.path(name))
+        whole.encode_special_tokens = True
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [whole.encode(t, add_special_tokens=False).ids for t in all_texts]
+
+
 def test_decoding_joins_split_characters():
     table = bpe.byte_table(PATH)
     for text, ids in zip(HARD, bpe.encoder(PATH).encode(HARD)):
