@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from alertloom.functions.sizing import BROADCAST_BYTES, estimated_bytes
 from alertloom.llm.near_dedup import Linker, same_size, shingles
 from alertloom.llm.shared import partitions, salted_join, stored, text_of
 
@@ -139,11 +140,28 @@ class ClassLinker(Linker):
     def __init__(self, docs: DataFrame, width: int, share: Share, classes: DataFrame):
         super().__init__(docs, width, share)
         self.classes = classes
+        self.repeats = not classes.filter("times > 1").isEmpty()
 
     def sets(self, ids: DataFrame) -> DataFrame:
-        of = self.classes.join(ids.select("id").distinct(), "id").select("id", "set_id", "doc_id")
-        texts = of.join(self.docs.select("doc_id", text_of().alias("text")), "doc_id").select("id", "set_id", "text")
-        return stored(texts.mapInArrow(partial(_named_sets, width=self.width), "id long, shingles array<long>").dropDuplicates(["id"]), "sets")
+        of = self.classes.join(ids.select("id").distinct(), "id").select("id", "set_id", "doc_id", "times")
+
+        def made(of: DataFrame) -> DataFrame:
+            texts = of.join(self.docs.select("doc_id", text_of().alias("text")), "doc_id").select("id", "set_id", "text")
+            return texts.mapInArrow(partial(_named_sets, width=self.width), "id long, shingles array<long>")
+
+        sets = made(of.filter("times = 1"))
+        return stored(sets.unionByName(made(of.filter("times > 1")).dropDuplicates(["id"])) if self.repeats else sets, "sets")
+
+    def confirm(self, pairs: DataFrame, sets: DataFrame) -> None:
+        pairs = stored(pairs, "pairs")
+        ids = stored(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
+        if estimated_bytes(ids) <= BROADCAST_BYTES:
+            sets = sets.join(F.broadcast(ids), "id", "left_semi")
+        both = pairs.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
+        both = salted_join(both, sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u", F.col("v"), "inner", counts=pairs.groupBy("u").agg(F.count("*").alias("_n")))
+        of, in_ = self.share
+        shared = both.select("u", "v", (F.size("a") + F.size("b")).cast("long").alias("total"), F.size(F.array_intersect("a", "b")).cast("long").alias("same"))
+        self.add(shared.filter(F.col("same") * in_ >= (F.col("total") - F.col("same")) * of))
 
 
 def shared_counts(prefixes: list[np.ndarray]) -> np.ndarray:
@@ -163,15 +181,20 @@ def shared_counts(prefixes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def block_links(key: int, whole: bool, side, ids, component, asked, prefixes, lists, sets, share: Share) -> list[tuple[int, int]]:
-    """Links between the members of a block that are of different components, of different sides unless the block is ``whole``, share enough of
-    their prefixes and no earlier list, and have ``share`` of their sets in common. A link joins two components, between which no further one is sought."""
+def fitting(key: int, whole: bool, side, component, asked, n, prefixes, lists, share: Share) -> np.ndarray:
+    """Which pairs (i < j) of a block are of different components, of different sides unless the block is ``whole``, of near sizes, share
+    enough of their prefixes, and no earlier list."""
     of, in_ = share
-    n = np.array([len(s) for s in sets])
     fit = np.triu(shared_counts(prefixes) >= np.minimum.outer(asked, asked), 1)
     fit &= (component[:, None] != component) & (np.minimum.outer(n, n) * in_ >= np.maximum.outer(n, n) * of)
     if not whole:
         fit &= side[:, None] != side
+    return fit & (shared_counts([x[x < key] for x in lists]) == 0) if fit.any() else fit
+
+
+def block_links(fit: np.ndarray, ids, component, sets, share: Share) -> list[tuple[int, int]]:
+    """Links among the fitting pairs. A link joins two components, between which no further one is sought."""
+    of, in_ = share
     to: dict[int, int] = {}
     found = []
 
@@ -182,25 +205,31 @@ def block_links(key: int, whole: bool, side, ids, component, asked, prefixes, li
 
     for i, j in zip(*np.nonzero(fit)):
         x, y = root(int(component[i])), root(int(component[j]))
-        if x != y and np.intersect1d(lists[i], lists[j], assume_unique=True)[0] == key:
+        if x != y:
             both = same_size(sets[i], sets[j])
-            if both * in_ >= int(n[i] + n[j] - both) * of:
+            if both * in_ >= (len(sets[i]) + len(sets[j]) - both) * of:
                 to[x] = y
                 found.append((int(ids[i]), int(ids[j])))
     return found
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], share: Share) -> Iterator[pa.RecordBatch]:
-    """The links of blocks of sorted rows (key, low, high, side, id, component, asked, prefix, lists, shingles)."""
-    def links(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key, low, high, side, ids, component, asked = (batch.column(i).to_numpy() for i in range(7))
-        arrays = [[batch.column(i)[k].values.to_numpy() for k in range(batch.num_rows)] for i in (7, 8, 9)]
+def _blocks(batches: Iterator[pa.RecordBatch], share: Share, confirm: bool) -> Iterator[pa.RecordBatch]:
+    """Of blocks of sorted rows (key, low, high, side, id, component, asked, n, prefix, lists, then shingles) the links, or if not yet to
+    ``confirm`` the members that fit to another one."""
+    def seen(batch: pa.RecordBatch) -> pa.RecordBatch:
+        key, low, high, side, ids, component, asked, n = (batch.column(i).to_numpy() for i in range(8))
+        arrays = [[batch.column(i)[k].values.to_numpy() for k in range(batch.num_rows)] for i in range(8, batch.num_columns)]
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-        found = []
+        found, kept = [], np.zeros(len(key), bool)
         for a, b in zip(new, [*new[1:], len(key)]):
-            prefixes, lists, sets = (x[a:b] for x in arrays)
-            found += block_links(key[a], low[a] == high[a], side[a:b], ids[a:b], component[a:b], asked[a:b], prefixes, lists, [s.view(np.uint64) for s in sets], share)
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["u", "v"])
+            fit = fitting(key[a], low[a] == high[a], side[a:b], component[a:b], asked[a:b], n[a:b], arrays[0][a:b], arrays[1][a:b], share)
+            if confirm:
+                found += block_links(fit, ids[a:b], component[a:b], [s.view(np.uint64) for s in arrays[2][a:b]], share)
+            else:
+                kept[a:b] = fit.any(axis=0) | fit.any(axis=1)
+        if confirm:
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (key, low, high, ids)], ["key", "low", "high", "id"])
 
     held = None  # the last block so far, which the next batch may go on with
     for batch in batches:
@@ -213,9 +242,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], share: Share) -> Iterator[pa.Reco
         cut = int(other[-1]) + 1 if len(other) else 0
         held = batch.slice(cut)
         if cut:
-            yield links(batch.slice(0, cut))
+            yield seen(batch.slice(0, cut))
     if held is not None:
-        yield links(held)
+        yield seen(held)
 
 
 def ngram_join(docs: DataFrame, width: int = 5, share: Share = (4, 5)) -> DataFrame:
@@ -227,7 +256,8 @@ def ngram_join(docs: DataFrame, width: int = 5, share: Share = (4, 5)) -> DataFr
     texts = docs.select("doc_id", text_of().alias("text"))
     profiles = stored(texts.mapInArrow(partial(_profile, width=width), f"doc_id {kind}, n_shingles long, set_id binary, slice int, counts binary"), "profiles")
     rows = profiles.filter("slice is null").select("doc_id", "n_shingles", "set_id")
-    classes = rows.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).filter("doc_id is not null")
+    classes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_id", "doc_id").agg(F.count("*").alias("times"), F.first("n_shingles").alias("n"))
+    classes = classes.groupBy("set_id").agg(F.min(F.struct("doc_id", "times", "n")).alias("c")).select("set_id", "c.*")
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     counts = spark.sparkContext.broadcast(zlib.compress(added(profiles).tobytes(), 1))
     made = texts.select("text").mapInArrow(partial(_prefixes, width=width, share=share, held=counts), "set_id binary, asked int, one int, prefix array<long>")
@@ -265,14 +295,20 @@ def ngram_join(docs: DataFrame, width: int = 5, share: Share = (4, 5)) -> DataFr
     apart = stored(apart, "apart")
     others = stored(salted_join(others.select("key", "id", "component"), apart, "key", F.col("id"), "inner", counts=apart.withColumnRenamed("members", "_n")), "others")
     of_one = others.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("lists"))  # at most the length of a prefix
-    whole = own.select("id", "asked", "prefix").join(of_one, "id").join(linker.sets(others).hint("merge"), "id")
+    whole = stored(own.select("id", F.col("asked").cast("long").alias("asked"), "n", "prefix").join(of_one, "id"), "whole")
     blocks = F.ceil(F.col("members") / BLOCK)
     others = others.withColumn("side", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    others = others.join(whole.hint("merge"), "id").select(
-        "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "id", "component", F.col("asked").cast("long").alias("asked"),
-        "prefix", "lists", "shingles")
-    others = others.repartition(partitions(spark), "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
-    linker.add(others.mapInArrow(partial(_blocks, share=share), "u long, v long"))
+    others = others.select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "id", "component")
+
+    def dealt(rows: DataFrame, *more: str) -> DataFrame:
+        rows = rows.select("key", "low", "high", "side", "id", "component", "asked", "n", "prefix", "lists", *more)
+        return rows.repartition(partitions(spark), "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
+
+    fit = dealt(others.join(whole.hint("merge"), "id")).mapInArrow(partial(_blocks, share=share, confirm=False), "key long, low long, high long, id long")
+    fit = stored(fit, "fit")  # only these need their full sets
+    fitting_rows = stored(others.join(fit, ["key", "low", "high", "id"]), "fitting")
+    sets = linker.sets(fit)
+    linker.add(dealt(fitting_rows.join(whole, "id").join(sets, "id"), "shingles").mapInArrow(partial(_blocks, share=share, confirm=True), "u long, v long"))
 
     linked = stored(classes.join(linker.found, "id", "left").select("set_id", "doc_id", F.coalesce("component", "id").alias("component")), "linked")
     least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
