@@ -87,12 +87,12 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '{TRICKY}'), (-7, 1, 'assistant', '{TRICKY}')),
 r AS (
-  SELECT *, lag(role) OVER (PARTITION BY conv_id, turn // {chat.BLOCK} ORDER BY turn, role, text) IS NOT DISTINCT FROM role AS goes_on,
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) IS NOT DISTINCT FROM role AS goes_on,
          length(replace(replace(text, '\', '\b'), '<', '\l')) AS n,
          length(replace(replace(replace(role, '\', '\b'), '<', '\l'), '>', '\g')) AS m FROM t)
-SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = '{chat.LEARNED}'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = '{chat.LEARNED}'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = '{chat.LEARNED}'), '')) AS loss_sha256,
        sum(CASE WHEN goes_on THEN n + {len(chat.CUT)} ELSE n + m + {len(chat.HEAD + chat.HEAD_END + chat.END)} END)::BIGINT AS formatted_chars
 FROM r GROUP BY conv_id
 """

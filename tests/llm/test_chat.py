@@ -36,9 +36,19 @@ def test_round_trip(spark):
 
 
 def test_long_conversation_is_cut_into_segments(spark):
-    out = check(spark, [(9, t, "assistant" if t // 3 % 2 else "user", f"text {t} <") for t in range(700)])
-    assert out.count() == 3
-    assert out.select(F.max(F.size(F.split("formatted", "<turn ")))).first()[0] < chat.BLOCK
+    """The segments of long runs, of equal and of null turn numbers give the text that isn't cut."""
+    rows = [(9, t, "assistant" if t // 3 % 2 else "user", f"text {t} <") for t in range(700)]
+    rows += [(c, t, "user", "x") for c, n in ((1, 300), (2, 600), (3, 256), (4, 257)) for t in range(n)]
+    rows += [(5, None, "assistant", f"{t:04}") for t in range(900)] + [(6, 7, "user" if t < 400 else "assistant", f"{t:04}") for t in range(800)]
+    out = check(spark, rows).orderBy("conv_id", "segment").collect()
+    whole, segments = {}, {}
+    for r in out:
+        whole[r["conv_id"]] = whole.get(r["conv_id"], "") + r["formatted"]
+        segments[r["conv_id"]] = segments.get(r["conv_id"], 0) + 1
+    assert segments == {1: 2, 2: 3, 3: 1, 4: 2, 5: 4, 6: 4, 9: 3} and chat.BLOCK == 256
+    assert {c: len(whole[c]) for c in (1, 2)} == {1: 1815, 2: 3615}  # 13 + 300 texts + 299 cuts + 8, and so on
+    assert whole[2] == "<turn user>\n" + "<cut>".join(["x"] * 600) + "</turn>\n"
+    assert whole[5].count("<turn ") == 1 and whole[6].count("<turn ") == 2 and whole[6].count("</turn>") == 2
 
 
 def test_adjacent_turns_are_merged(spark):
