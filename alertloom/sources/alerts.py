@@ -23,7 +23,8 @@ def follow_lines(spark: SparkSession, path: str, max_files: int | None = None) -
     """Stream of the lines in files that appear in a landing folder.
 
     Files must be moved into place whole; the checkpoint of the query keeps the position, so
-    a restart neither repeats nor skips a file.
+    a restart neither repeats nor skips a file. Spark takes files in the order of their modification times, in milliseconds, and those of
+    one millisecond in any order; the lateness that a query allows must cover the alerts' times of such files.
     """
     reader = spark.readStream
     if max_files:

@@ -1,9 +1,11 @@
 """Continuous jobs: ingest, enrich, correlate, score, store. Each is a source, a plan and a sink
 with its own checkpoint; ``run_available`` processes what is there and stops."""
 
+import threading
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from alertloom.functions.normalize import enrich, normalize
@@ -100,6 +102,7 @@ def current_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def run_available(writer: DataStreamWriter, timeout_seconds: int = 600) -> StreamingQuery:
     """Start a query, let it process all available input, and wait for its end."""
+    Progress.of(SparkSession.active())
     query = writer.trigger(availableNow=True).start()
     if not query.awaitTermination(timeout_seconds):
         query.stop()
@@ -112,14 +115,57 @@ def to_table(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
         "checkpointLocation", checkpoint).outputMode("append")
 
 
+class Progress(StreamingQueryListener):
+    """Adds up what every micro-batch of every query reports, however many there are, by the query's id, which a restart from a checkpoint keeps.
+
+    Spark itself keeps the last 100 reports of a query only. ``Progress.of(spark)`` registers the one listener of a session; a query is counted
+    from then on.
+    """
+
+    _of_session: "dict[int, tuple[SparkSession, Progress]]" = {}
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> "Progress":
+        held = cls._of_session.get(id(spark))
+        if held is None or held[0] is not spark:
+            held = cls._of_session[id(spark)] = (spark, cls())
+            spark.streams.addListener(held[1])
+        return held[1]
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        feed = p.observedMetrics.get("feed")
+        new = {"batches": 1, "input": p.numInputRows, "late": sum(op.numRowsDroppedByWatermark for op in p.stateOperators),
+               "lines": feed["lines"] if feed else 0, "errors": feed["errors"] if feed else 0}
+        with self.changed:
+            total = self.totals.setdefault(str(p.id), dict.fromkeys(new, 0))
+            for k, v in new.items():
+                total[k] += v
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def total(self, query: StreamingQuery, timeout_seconds: float = 60) -> dict[str, int]:
+        """The totals of a query over all its runs that were listened to; of one that has ended, with its last report."""
+        with self.changed:
+            if not query.isActive and not self.changed.wait_for(lambda: str(query.runId) in self.ended, timeout_seconds):
+                raise TimeoutError("the end of the query was not reported")
+            return dict(self.totals.get(str(query.id), dict.fromkeys(("batches", "input", "late", "lines", "errors"), 0)))
+
+
 def counters(query: StreamingQuery) -> dict[str, int]:
-    """Rows read, lines and errors of the feed, and rows dropped as late, over the recorded
-    progress of a query."""
-    total = {"input": 0, "late": 0, "lines": 0, "errors": 0}
-    for p in query.recentProgress:
-        total["input"] += p.numInputRows
-        total["late"] += sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
-        if "feed" in p.observedMetrics:
-            total["lines"] += p.observedMetrics["feed"]["lines"]
-            total["errors"] += p.observedMetrics["feed"]["errors"]
-    return total
+    """Micro-batches and rows read, lines and errors of the feed, and rows dropped as late, over all batches and restarts of a query."""
+    return Progress.of(SparkSession.active()).total(query)

@@ -1,6 +1,9 @@
 """Streams give the batch result however the input is cut, across restarts, and count late rows."""
 
+import itertools
+import os
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from alertloom.sources import alerts as feed, tables
 from alertloom.streaming import jobs
 from alertloom.streaming.correlate import correlate_stream, reconcile
 
+STARTED = int(time.time()) - 86_400
 FLUSH = '{"id":"flush","timestamp":"2026-08-16T00:00:00+00:00","agent":{"name":"flush"}}'
 
 
@@ -28,11 +32,16 @@ def lines():
     return [alert_line(i, s) for i, s in enumerate(seconds)]
 
 
+landed = itertools.count()
+
+
 def land(folder, name, rows):
-    """A whole file moved into the landing folder."""
+    """A whole file moved into the landing folder, a second younger than the one before: a stream takes files by their times."""
     folder.mkdir(exist_ok=True)
     part = folder / f".{name}.part"
     part.write_text("\n".join(rows) + "\n")
+    at = STARTED + next(landed)
+    os.utime(part, (at, at))
     part.rename(folder / name)
 
 
@@ -176,3 +185,20 @@ def test_ingest_job_keeps_dead_letters_and_counts(spark, tmp_path):
     assert sorted(r["_error"] for r in spark.read.parquet(str(tmp_path / "dead")).collect()) == ["level", "malformed"]
     counted = jobs.counters(query)
     assert (counted["input"], counted["lines"], counted["errors"]) == (23, 22, 2)
+
+
+def test_counters_are_those_of_all_batches_and_restarts(spark, tmp_path):
+    """More micro-batches than Spark keeps reports of."""
+    rows = lines()
+
+    def run():
+        parsed = jobs.observed(feed.parse(feed.follow_lines(spark, str(tmp_path / "landing"), max_files=1)))
+        return jobs.counters(jobs.run_available(parsed.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "checkpoint"))))
+
+    for k in range(104):
+        land(tmp_path / "landing", f"{k:03d}.json", [rows[k], "{broken"])
+    first = run()
+    assert first["batches"] >= 104 and (first["input"], first["lines"], first["errors"], first["late"]) == (208, 208, 104, 0)
+    land(tmp_path / "landing", "more.json", rows[200:207])
+    again = run()
+    assert again["batches"] > first["batches"] and (again["input"], again["lines"], again["errors"], again["late"]) == (215, 215, 104, 0)
