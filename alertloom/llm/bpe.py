@@ -23,6 +23,8 @@ from alertloom.llm.shared import once, text_of
 from alertloom.llm.tokens import BYTE_CHARS, ByteEncoder, public_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Fewer than of the other encoders, as the merges of a rank file take much room themselves.
+PIECES = 200_000
 
 
 def ranks(path: str) -> dict[bytes, int]:
@@ -40,7 +42,7 @@ def build(path: str) -> ByteEncoder:
     tokenizer = Tokenizer(models.BPE({chars[t]: r for t, r in of.items()}, merges, ignore_merges=True))
     tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
         pre_tokenizers.Split(Regex(public_tokenizers.PATTERN), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-    return ByteEncoder(tokenizer)
+    return ByteEncoder(tokenizer, PIECES)
 
 
 def encoder(path: str) -> ByteEncoder:

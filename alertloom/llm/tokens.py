@@ -14,8 +14,8 @@ from array import array
 
 from alertloom.llm.shared import once
 
-#: Entries of one generation of a table of pieces.
-PIECES = 300_000
+#: Entries of one generation of a table of pieces, of some 200 bytes each.
+PIECES = 600_000
 WORD = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?|]?)")
 #: White space other than the blank and the line feed, and two of these in a row.
 RARE_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["  ", "\n ", " \n", "\n\n"]
@@ -51,15 +51,15 @@ class Pieces(dict):
     """Ids, as little-endian unsigned 32-bit integers, of pieces. This is the young generation; when it is full it becomes the old one,
     and what of the old one is asked for again moves to the young one."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, generation: int):
         super().__init__()
-        self.encode, self.old = encode, {}
+        self.encode, self.generation, self.old = encode, generation, {}
 
     def __missing__(self, piece):
         ids = self.old.get(piece)
         if ids is None:
             ids = packed(self.encode(piece))
-        if len(self) >= PIECES:
+        if len(self) >= self.generation:
             self.old = dict(self)
             self.clear()
         self[piece] = ids
@@ -69,10 +69,10 @@ class Pieces(dict):
 class Encoder:
     """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, generation: int | None = None):
         tokenizer.encode_special_tokens = True
         self.tokenizer, self.model = tokenizer, tokenizer.model
-        self.pieces = Pieces(self.piece)
+        self.pieces = Pieces(self.piece, generation or PIECES)
         self.marks = {"": []}
 
     def piece(self, piece) -> list[int]:
