@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from alertloom.functions.sizing import BROADCAST_BYTES, estimated_bytes
+from alertloom.functions.sizing import BROADCAST_BYTES, broadcast_if_small, estimated_bytes
 from alertloom.llm.near_dedup import Linker, same_size, shingles
 from alertloom.llm.shared import partitions, salted_join, stored, text_of
 
@@ -44,7 +44,7 @@ LEVELS = 8
 #: Elements of two full sets that can be compared in the time of one match of a posting.
 MERGED = 32
 #: Members of a block of a list.
-BLOCK = 256
+BLOCK = 1024
 
 Share = tuple[int, int]
 
@@ -143,10 +143,10 @@ class ClassLinker(Linker):
         self.repeats = not classes.filter("times > 1").isEmpty()
 
     def sets(self, ids: DataFrame) -> DataFrame:
-        of = self.classes.join(ids.select("id").distinct(), "id").select("id", "set_id", "doc_id", "times")
+        of = stored(self.classes.join(ids.select("id").distinct(), "id").select("id", "set_id", "doc_id", "times"), "wanted")
 
         def made(of: DataFrame) -> DataFrame:
-            texts = of.join(self.docs.select("doc_id", text_of().alias("text")), "doc_id").select("id", "set_id", "text")
+            texts = broadcast_if_small(of).join(self.docs.select("doc_id", text_of().alias("text")), "doc_id").select("id", "set_id", "text")
             return texts.mapInArrow(partial(_named_sets, width=self.width), "id long, shingles array<long>")
 
         sets = made(of.filter("times = 1"))
