@@ -158,7 +158,7 @@ class Filters:
         return on
 
 
-def _order(sort: str, order: str) -> list[Column]:
+def sort_order(sort: str, order: str) -> list[Column]:
     name = sort if sort in SORTS else "created_at"
     column = F.col(name)
     return [column.asc_nulls_last() if order == "asc" else column.desc_nulls_first(), F.col("id")]
@@ -186,19 +186,23 @@ def with_severity_labels(rows: DataFrame) -> DataFrame:
     )
 
 
-def _page(per_page: int, page: int) -> None:
+def check_page(per_page: int, page: int) -> None:
     if page < 1 or not 1 <= per_page <= 100:
         raise ValueError("page must be at least 1 and per_page between 1 and 100")
 
 
+def list_columns(rows: DataFrame) -> DataFrame:
+    return with_severity_labels(rows.select(*_LIST, *_paths()))
+
+
 def list_incidents(incidents: DataFrame, filters: Filters = Filters(), page: int = 1, per_page: int = 20,
                    sort: str = "created_at", order: str = "desc") -> DataFrame:
     """One page of the filtered, sorted list: a top-k, never a full sort."""
-    _page(per_page, page)
-    rows = incidents.filter(filters.condition()).orderBy(*_order(sort, order))
+    check_page(per_page, page)
+    rows = incidents.filter(filters.condition()).orderBy(*sort_order(sort, order))
     if page > 1:
         rows = rows.offset((page - 1) * per_page)
-    return with_severity_labels(rows.limit(per_page).select(*_LIST, *_paths()))
+    return list_columns(rows.limit(per_page))
 
 
 def next_page(incidents: DataFrame, last_value, last_id: str, filters: Filters = Filters(), per_page: int = 20,
@@ -207,7 +211,7 @@ def next_page(incidents: DataFrame, last_value, last_id: str, filters: Filters =
 
     Nulls come first in descending order and last in ascending order, as in the list itself.
     """
-    _page(per_page, 1)
+    check_page(per_page, 1)
     column = F.col(sort if sort in SORTS else "created_at")
     tied = F.col("id") > F.lit(last_id)
     if last_value is None:
@@ -222,7 +226,7 @@ def next_page(incidents: DataFrame, last_value, last_id: str, filters: Filters =
 
 
 def page_meta(incidents: DataFrame, filters: Filters = Filters(), page: int = 1, per_page: int = 20) -> DataFrame:
-    _page(per_page, page)
+    check_page(per_page, page)
     return incidents.filter(filters.condition()).agg(_count().alias("total")).select(
         "total", F.lit(page).alias("page"), F.lit(per_page).alias("per_page"),
         F.expr(f"(total + {per_page - 1}) div {per_page}").alias("pages"))
@@ -246,7 +250,7 @@ def newest_days(incidents: DataFrame, rows: int) -> DataFrame:
 
 def recent(incidents: DataFrame, limit: int = 10) -> DataFrame:
     rows = newest_days(incidents, _bounded(limit))
-    newest = rows.orderBy(*_order("created_at", "desc")).limit(_bounded(limit))
+    newest = rows.orderBy(*sort_order("created_at", "desc")).limit(_bounded(limit))
     return with_severity_labels(newest.select(*_RECENT, *_paths()))
 
 

@@ -100,12 +100,14 @@ def fold_upserts(rows: DataFrame, seq: Column) -> DataFrame:
 
 
 def upsert(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """``existing`` (unique ids) after an upsert of ``batch`` (unique ids)."""
+    """``existing`` (unique ids) after an upsert of ``batch`` (unique ids); ``updated_at`` never goes back, as behind a later edit."""
     old, new = existing.alias("o"), batch.alias("n")
     both = old.join(new, F.col("o.id") == F.col("n.id"), "full_outer")
 
     def pick(name: str) -> Column:
         mine, theirs = F.col(f"o.{name}"), F.col(f"n.{name}")
+        if name == "updated_at":
+            return F.greatest(mine, theirs)
         if name in UPDATED_ON_CONFLICT:
             return F.when(F.col("n.id").isNotNull(), theirs).otherwise(mine)
         return F.when(F.col("o.id").isNotNull(), mine).otherwise(theirs)
@@ -129,37 +131,22 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def _fold_log(log: DataFrame) -> DataFrame:
-    ordered = log.withColumn("_order", F.struct("batch_id", "_seq")).drop("batch_id", "_seq")
-    return fold_upserts(ordered, F.col("_order"))
+def save_days(rows: DataFrame, path: str, replace_days: bool = False) -> None:
+    """Write a table by ``created_date``, whole or only the days that occur in ``rows``.
 
-
-def current_incidents(spark: SparkSession, path: str, snapshot: str | None = None,
-                      after: int | None = None) -> DataFrame:
-    """The incidents table as the fold of every batch appended so far.
-
-    Rows carry their place in the batch as ``_seq``; a retried batch folds the same. With a
-    ``snapshot`` of the table up to batch ``after``, only the batches behind it are read.
+    Files are sized by a rebalance. Inside a file rows are sorted by id, so that row groups hold apart ranges of ids, and each has a
+    bloom filter on id: a look-up by id reads the few row groups that may hold it.
     """
-    log = spark.read.parquet(path)
-    if snapshot is None:
-        return _fold_log(log)
-    base = read_incidents(spark, snapshot).drop("created_date")
-    return upsert(base, _fold_log(log.filter(F.col("batch_id") > after)).select(*base.columns))
-
-
-def compact(spark: SparkSession, path: str, snapshot: str) -> int:
-    """Write a snapshot of the table and return the last batch it holds."""
-    last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-    write_incidents(_fold_log(spark.read.parquet(path).filter(F.col("batch_id") <= last)), snapshot)
-    return last
+    (rows.hint("rebalance", "created_date").sortWithinPartitions("created_date", "id")
+     .write.mode("overwrite").partitionBy("created_date")
+     .option("partitionOverwriteMode", "dynamic" if replace_days else "static")
+     .option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+     .parquet(path))
 
 
 def write_incidents(rows: DataFrame, path: str) -> None:
-    """A snapshot of the table partitioned by creation day, files sized by a rebalance."""
-    (rows.withColumn("created_date", F.to_date("created_at"))
-     .hint("rebalance", "created_date")
-     .write.mode("overwrite").partitionBy("created_date").parquet(path))
+    """A snapshot of the table partitioned by creation day."""
+    save_days(rows.withColumn("created_date", F.to_date("created_at")), path)
 
 
 def read_incidents(spark: SparkSession, path: str) -> DataFrame:

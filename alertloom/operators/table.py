@@ -1,108 +1,81 @@
-"""An incidents table that lasts: upserts, analyst edits and compaction over immutable files.
+"""An incidents table that lasts: days of Parquet that upserts and analyst edits rewrite.
 
-Below the root stand a log of upsert batches, a log of edit batches, and versions of the table, each partitioned by day. A manifest says
-for every day which version holds it. A compaction folds the batches after the last one into the days that they touch, writes
-only these as a new version, and then the manifest; readers of the old one are not disturbed. What no manifest needs any more is
-retired by a step of its own.
+A change reads the days it touches, joins the batch to them, stages the result beside the table and replaces these days by Spark's dynamic
+partition overwrite; other days are not read beyond their ids and not written. A change that was interrupted after staging is finished by
+the next one, so no row of a touched day is lost; until then readers may miss such a day. A batch applied again gives the same table. One
+change at a time: the stream and the analysts' edits must take turns, and readers should not run while days are being replaced.
 """
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from alertloom.operators.analytics import EDITABLE
-from alertloom.operators.store import append_batch, fold_upserts, incident_row_schema, upsert
+from alertloom.functions.sizing import broadcast_if_small
+from alertloom.operators.analytics import EDITABLE, apply_edits
+from alertloom.operators.store import fold_upserts, incident_row_schema, save_days, upsert
 from alertloom.sources import files
 
+_DAY = "created_date"
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows with their day; none where there is no table yet."""
+    schema = incident_row_schema().add(_DAY, "date")
+    return spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Put the staged days in place, if any are staged whole."""
+    staged = f"{path}_staged"
+    if files.exists(spark, f"{staged}/_SUCCESS"):
+        save_days(spark.read.schema(incident_row_schema().add(_DAY, "date")).parquet(staged), path, replace_days=True)
+        files.delete(spark, staged)
+
+
+def _replace(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").parquet(f"{path}_staged")
+    _finish(rows.sparkSession, path)
+
+
+def _incoming(batch: DataFrame, path: str) -> DataFrame:
+    """The batch, written once: it is read three times, and a file's size decides about broadcasts."""
+    batch.write.mode("overwrite").parquet(f"{path}_incoming")
+    return batch.sparkSession.read.schema(batch.schema).parquet(f"{path}_incoming")
+
+
+def _days_of(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """Id and day of the rows with these ids: a scan of two columns."""
+    return table.select("id", _DAY).join(broadcast_if_small(ids), "id", "left_semi")
+
+
+def _on(table: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows of some days; other days are pruned. There are no more days than the calendar has."""
+    found = [r[0] for r in days.select(F.date_format(_DAY, "yyyy-MM-dd")).distinct().collect()]
+    wanted = F.col(_DAY).isin([F.to_date(F.lit(d)) for d in found if d is not None])
+    return table.filter(wanted | F.col(_DAY).isNull() if None in found else wanted)
+
+
+def upsert_rows(path: str, rows: DataFrame) -> None:
+    """Upsert rows, with ``_seq``, their place in the source, if ids repeat. A known id keeps its first row's day and fixed columns."""
+    spark = rows.sparkSession
+    names = incident_row_schema().names
+    place = F.col("_seq") if "_seq" in rows.columns else F.struct("updated_at", F.xxhash64(F.to_json(F.struct(*names))))
+    _finish(spark, path)
+    table = read_table(spark, path)
+    batch = _incoming(fold_upserts(rows.select(*names, place.alias("_order")), F.col("_order")), path)
+    known = _days_of(table, batch.select("id"))
+    days = batch.select("id", F.to_date("created_at").alias("_own")).join(known.withColumn("_known", F.lit(True)), "id", "left")
+    touched = days.select(F.when(F.col("_known"), F.col(_DAY)).otherwise(F.col("_own")).alias(_DAY))
+    merged = upsert(_on(table, touched).drop(_DAY), batch)
+    _replace(merged.withColumn(_DAY, F.to_date("created_at")), path)
+
 
-class IncidentTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Rows to upsert, with ``_seq``, their place in the source. A batch written again replaces itself."""
-        append_batch(rows, f"{self.root}/log", batch_id)
-
-    def edit(self, edits: DataFrame, as_of: Column, batch_id: int) -> None:
-        """Edits (id, any of the editable columns, and ``_seq`` if their order matters); null leaves a value as it is."""
-        given = [F.col(c) if c in edits.columns else F.lit(None).cast("string").alias(c) for c in EDITABLE]
-        place = F.col("_seq").cast("long") if "_seq" in edits.columns else F.lit(0).cast("long")
-        rows = edits.select("id", *given, as_of.alias("edited_at"), place.alias("_seq")).filter(F.coalesce(*EDITABLE).isNotNull())
-        append_batch(rows, f"{self.root}/edits", batch_id)
-
-    def _batches(self, log: str) -> list[int]:
-        return [int(n.removeprefix("batch_id=")) for n in files.folders(self.spark, f"{self.root}/{log}") if n.startswith("batch_id=")]
-
-    def _manifest(self) -> tuple[int | None, dict[str, int]]:
-        """The last batch compacted, and the version of each day. A table has as many rows here as days."""
-        done = [int(m[1]) for n in files.folders(self.spark, f"{self.root}/manifests") if (m := re.fullmatch(r"v(\d+)", n))
-                and files.exists(self.spark, f"{self.root}/manifests/{n}/_SUCCESS")]
-        if not done:
-            return None, {}
-        rows = self.spark.read.schema("day string, version long").parquet(f"{self.root}/manifests/v{max(done)}").collect()
-        return max(done), {r["day"]: r["version"] for r in rows}
-
-    def _stored(self, days: dict[str, int]) -> DataFrame:
-        """The rows of some days, from their versions."""
-        out = None
-        for version in sorted(set(days.values())):
-            own = [d for d, v in days.items() if v == version]
-            part = self.spark.read.schema(incident_row_schema().add("created_date", "date")).parquet(f"{self.root}/versions/v{version}")
-            part = part.filter(F.col("created_date").isin([F.to_date(F.lit(d)) for d in own]))
-            out = part if out is None else out.unionByName(part)
-        return out if out is not None else self.spark.createDataFrame([], incident_row_schema().add("created_date", "date"))
-
-    def _folded(self, after: int | None, until: int) -> DataFrame:
-        log = self.spark.read.parquet(f"{self.root}/log").filter(F.col("batch_id") <= until)
-        if after is not None:
-            log = log.filter(F.col("batch_id") > after)
-        rows = log.withColumn("_order", F.struct("batch_id", "_seq")).drop("batch_id", "_seq")
-        return fold_upserts(rows, F.col("_order"))
-
-    def read(self) -> DataFrame:
-        """The table as it stands: the last version, the batches after it, and all edits."""
-        done, days = self._manifest()
-        rows, batches = self._stored(days).drop("created_date"), self._batches("log")
-        if batches and (done is None or max(batches) > done):
-            rows = upsert(rows, self._folded(done, max(batches)).select(*rows.columns))
-        if not self._batches("edits"):
-            return rows
-        log = self.spark.read.parquet(f"{self.root}/edits")
-        place = F.struct("batch_id", "_seq")
-        last = log.groupBy("id").agg(F.max("edited_at").alias("_edited"), *[
-            F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_{c}") for c in EDITABLE])
-        joined = rows.join(last, "id", "left")
-        changed = {c: F.coalesce(f"_{c}", c) for c in EDITABLE} | {"updated_at": F.greatest("updated_at", "_edited")}
-        return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in rows.columns])
-
-    def compact(self) -> int | None:
-        """Fold the batches that have come since into the days they touch; the last batch the table now holds. Edits stay a log, as small
-        as analysts are few."""
-        done, days = self._manifest()
-        batches = self._batches("log")
-        if not batches or (done is not None and max(batches) <= done):
-            return done
-        last = max(batches)
-        new = self._folded(done, last).checkpoint()
-        known = self._stored(days).select("id", "created_date").join(new.select("id"), "id")
-        day = F.date_format("day", "yyyy-MM-dd").alias("day")
-        touched = known.select(F.col("created_date").alias("day")).unionByName(new.select(F.to_date("created_at").alias("day"))).distinct()
-        touched = {r["day"] for r in touched.filter("day is not null").select(day).collect()}  # days: bounded by the calendar
-        old = self._stored({d: v for d, v in days.items() if d in touched}).drop("created_date")
-        merged = upsert(old, new.select(*old.columns)).withColumn("created_date", F.to_date("created_at"))
-        merged.hint("rebalance", "created_date").write.mode("overwrite").partitionBy("created_date").parquet(f"{self.root}/versions/v{last}")
-        manifest = {**days, **dict.fromkeys(touched, last)}
-        self.spark.createDataFrame(sorted(manifest.items()), "day string, version long").coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/manifests/v{last}")
-        return last
-
-    def retire(self) -> int:
-        """Delete compacted batches, older manifests, and versions that no day needs; how many folders went. For a time when no
-        reader has an older manifest open."""
-        done, days = self._manifest()
-        if done is None:
-            return 0
-        gone = [f"log/batch_id={b}" for b in self._batches("log") if b <= done]
-        gone += [f"manifests/{n}" for n in files.folders(self.spark, f"{self.root}/manifests") if n != f"v{done}"]
-        gone += [f"versions/{n}" for n in files.folders(self.spark, f"{self.root}/versions") if int(n[1:]) not in days.values()]
-        return sum(files.delete(self.spark, f"{self.root}/{g}") for g in gone)
+def edit_rows(path: str, edits: DataFrame, as_of: Column) -> None:
+    """Apply edits (id, any of the editable columns, and ``_seq`` if their order matters); null leaves a value as it is. Edits of ids
+    that the table lacks change nothing."""
+    spark = edits.sparkSession
+    given = [c for c in EDITABLE if c in edits.columns]
+    place = F.col("_seq") if "_seq" in edits.columns else F.struct(*given)
+    _finish(spark, path)
+    table = read_table(spark, path)
+    batch = _incoming(edits.select("id", *given, place.alias("_seq")), path)
+    days = _days_of(table, batch.select("id"))
+    _replace(apply_edits(_on(table, days), batch, as_of, F.col("_seq")), path)

@@ -390,6 +390,9 @@ FROM incidents WHERE confidence IS NOT NULL GROUP BY 1""",
 SELECT {_LIST_COLUMNS} FROM incidents i WHERE i.severity = 3 AND i.status = 'open' AND i.category ILIKE '%movement%'
 ORDER BY i.confidence DESC NULLS FIRST, i.id LIMIT 20""",
     "q_list_page2": ALL + f"\nSELECT {_LIST_COLUMNS} FROM incidents i ORDER BY i.created_at DESC NULLS FIRST, i.id LIMIT 20 OFFSET 20",
+    "q_page_deep": ALL + f"""
+SELECT {_LIST_COLUMNS} FROM incidents i ORDER BY i.created_at DESC NULLS FIRST, i.id LIMIT 20
+OFFSET (SELECT (count(*) - 1) // 20 * 20 FROM incidents)""",
     "q_page_meta": ALL + """
 SELECT count(*) AS total, 1 AS page, 20 AS per_page, (count(*) + 19) // 20 AS pages FROM incidents
 WHERE severity = 3 AND status = 'open' AND category ILIKE '%movement%'""",

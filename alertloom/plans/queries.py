@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from alertloom.constants import RETENTION_DAYS
 from alertloom.functions.columns import micros
 from alertloom.functions.normalize import enrich, normalize
-from alertloom.operators import analytics as g, correlate, detect, evaluate, labeling, portscan, store
+from alertloom.operators import analytics as g, correlate, detect, evaluate, labeling, paging, portscan, store
 from alertloom.operators import model as classifier
 from alertloom.operators.features import features
 from alertloom.operators.rules import fan_out, match_counts
-from alertloom.operators.table import IncidentTable
+from alertloom.operators.table import edit_rows, read_table, upsert_rows
 from alertloom.plans import derive as d
 from alertloom.session import work_path
 from alertloom.sources import alerts as feed, events as ev, tables
@@ -235,20 +235,18 @@ def q_upsert(spark, sf_dir):
 
 @query
 def q_edit_persist(spark, sf_dir):
-    """The stored table after two upserts with repeated ids, an edit and a compaction between them, and an edit afterwards."""
+    """The stored table after two upserts with repeated ids, an edit between them and one afterwards."""
     rows = _repeated_rows(d.stored_incidents(spark, sf_dir).drop("created_date")).withColumnRenamed("_order", "_seq")
-    table = IncidentTable(spark, work_path(spark, "table", uuid.uuid4().hex))
+    path = work_path(spark, "table", uuid.uuid4().hex)
     early = F.hour("created_at") < 12
-    table.append(rows.filter(early), 0)
-    table.edit(table.read().filter("severity = 3").select("id", F.lit("investigating").alias("status"), F.lit("analyst1").alias("assigned_to")),
-               F.to_timestamp(F.lit("2024-03-01")), 0)
-    table.compact()
-    table.append(rows.filter(~early), 1)
-    table.compact()
-    table.retire()
-    closed = table.read().filter("confidence >= 0.8").select("id", F.lit("closed").alias("status"))
-    table.edit(closed, F.to_timestamp(F.lit("2024-03-02")), 1)
-    return table.read().select(
+    upsert_rows(path, rows.filter(early))
+    severe = read_table(spark, path).filter("severity = 3")
+    edit_rows(path, severe.select("id", F.lit("investigating").alias("status"), F.lit("analyst1").alias("assigned_to")),
+              F.to_timestamp(F.lit("2024-03-01")))
+    upsert_rows(path, rows.filter(~early))
+    sure = read_table(spark, path).filter("confidence >= 0.8")
+    edit_rows(path, sure.select("id", F.lit("closed").alias("status")), F.to_timestamp(F.lit("2024-03-02")))
+    return read_table(spark, path).select(
         "id", at("created_at").alias("created_at"), at("updated_at").alias("updated_at"), "severity", "confidence", "status", "assigned_to",
         F.col("raw_incident.triggering_alert.event.id").alias("last_event"))
 
@@ -379,6 +377,13 @@ def q_list_page2(spark, sf_dir):
     return _listed(g.list_incidents(d.stored_incidents(spark, sf_dir), page=2))
 
 
+@query
+def q_page_deep(spark, sf_dir):
+    """Last page of the unfiltered list, newest first, its range found by counts."""
+    rows = d.stored_incidents(spark, sf_dir)
+    return _listed(paging.deep_page(rows, page=g.page_meta(rows).first()["pages"], most_rows=50))
+
+
 @query
 def q_page_meta(spark, sf_dir):
     """Total and number of pages of the filtered list."""
@@ -703,14 +708,14 @@ def s_late(spark, sf_dir):
 
 @query
 def s_store(spark, sf_dir):
-    """Scored incidents from a topic into the table log and the documents; the current table."""
+    """Scored incidents from a topic into the table and the documents; the table as it stands."""
     base = _run(spark, "store", sf_dir)
     topics = Topics("files", f"{base}/topics")
     topics.write(d.score_by_rule(d.incidents(spark, sf_dir)), "results", key="incident_id")
     scored = jobs.scored_incidents_of(topics.read_stream(spark, "results", position=True))
     jobs.run_available(jobs.store_stream(
         scored, f"{base}/checkpoint", f"{base}/table", f"{base}/documents", f"{base}/rejects"))
-    return store.current_incidents(spark, f"{base}/table").select(
+    return read_table(spark, f"{base}/table").select(
         "id", at("created_at").alias("created_at"), at("last_seen").alias("last_seen"), "severity", "category",
         "confidence", F.array_join("source_ips", ",").alias("source_ips"),
         F.array_join("target_hosts", ",").alias("target_hosts"), "event_count", "status")

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from alertloom.functions.normalize import enrich, normalize
 from alertloom.operators import model as classifier, store
+from alertloom.operators.table import upsert_rows
 from alertloom.schemas import INCIDENT, SCORED_INCIDENT
 from alertloom.sources import alerts as feed
 
@@ -58,10 +59,10 @@ def score_stream(incidents: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def store_batch(scored: DataFrame, batch_id: int, table: str, docs: str, rejects: str) -> None:
-    """Write one micro-batch to the table log, the document log and the rejects.
+    """Upsert one micro-batch into the table, and add it to the document log and the rejects.
 
     Within a batch, rows of one id are ordered by ``_position``, their place in the source, and the line within a file; without one by
-    their time and content. So a retry writes the same. Every sink is tried, and each replaces what an earlier attempt of the same batch left. If
+    their time and content. So a retry writes the same. Every sink is tried, and applying a batch again leaves each as it was. If
     any failed the batch fails, so the checkpoint makes Spark run it again.
     """
     if "_position" in scored.columns:
@@ -73,7 +74,7 @@ def store_batch(scored: DataFrame, batch_id: int, table: str, docs: str, rejects
     documents = store.documents(scored, F.col("_seq")).withColumn("_seq", F.lit(0))
     failures = []
     for name, write in (
-        ("table", lambda: store.append_batch(store.accepted(rows), table, batch_id)),
+        ("table", lambda: upsert_rows(table, store.accepted(rows))),
         ("rejects", lambda: store.append_batch(store.rejected(rows), rejects, batch_id)),
         ("documents", lambda: store.append_batch(documents, docs, batch_id)),
     ):

@@ -1,6 +1,7 @@
 """Store rows, upsert, constraints, documents and analyst queries on hand-made incidents."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,26 +98,20 @@ def test_documents_keep_last_write(spark):
     assert {r["incident_id"]: r["severity"] for r in docs.collect()} == {"a": "high", "b": "info"}
 
 
-def test_batch_log_is_idempotent(spark, tmp_path):
-    path = str(tmp_path / "log")
-    first = table(spark, row(1, source_ips=None), row(2)).withColumn("_seq", F.lit(0))
-    second = table(spark, row(1, **SECOND)).withColumn("_seq", F.lit(0))
-    store.append_batch(first, path, 0)
-    store.append_batch(second, path, 1)
-    store.append_batch(second, path, 1)
-    got = {r["id"]: r for r in store.current_incidents(spark, path).collect()}
-    assert len(got) == 2
-    check_merged(got[f"{1:032d}"])
-
+def test_upserts_into_days_are_idempotent(spark, tmp_path):
+    from alertloom.operators.table import read_table, upsert_rows
 
-def test_snapshot_and_newer_batches(spark, tmp_path):
-    path, snapshot = str(tmp_path / "log"), str(tmp_path / "snapshot")
-    store.append_batch(table(spark, row(1, source_ips=None), row(2)).withColumn("_seq", F.lit(0)), path, 0)
-    after = store.compact(spark, path, snapshot)
-    store.append_batch(table(spark, row(1, **SECOND), row(3)).withColumn("_seq", F.lit(0)), path, 1)
-    got = {r["id"]: r for r in store.current_incidents(spark, path, snapshot, after).collect()}
-    assert after == 0 and len(got) == 3
-    check_merged(got[f"{1:032d}"])
+    path = str(tmp_path / "t")
+    first = table(spark, row(1, source_ips=None), row(2)).withColumn("_seq", F.lit(0))
+    second = table(spark, row(1, **SECOND), row(3)).withColumn("_seq", F.lit(0))
+    upsert_rows(path, first)
+    for _ in range(2):
+        upsert_rows(path, second)
+        got = {r["id"]: r for r in read_table(spark, path).collect()}
+        assert len(got) == 3
+        check_merged(got[f"{1:032d}"])
+    upsert_rows(path, second.limit(0))
+    assert read_table(spark, path).count() == 3
 
 
 def test_features(spark):
@@ -188,6 +183,37 @@ def test_list_filters_sort_and_pages(spark):
         g.list_incidents(rows, per_page=101)
 
 
+@pytest.mark.parametrize("order", ["asc", "desc"])
+@pytest.mark.parametrize("sort", sorted(g.SORTS))
+def test_deep_pages_are_the_pages_of_the_list(spark, sort, order):
+    """Ties, nulls and values far apart; with few rows allowed into the sort every level is used."""
+    from alertloom.operators import paging
+
+    n = F.col("n")
+    base = table(spark, row(1))
+    own = {
+        "id": F.concat(F.lit("x"), F.md5(n.cast("string"))),
+        "created_at": F.when(n % 7 > 0, F.lit(T0) + F.make_dt_interval((n % 5).cast("int"), F.lit(0), F.lit(0), (n % 3).cast("decimal(18,6)") / 1000)),
+        "confidence": F.when(n % 11 > 0, (n % 13) / 12000.0), "event_count": F.when(n % 10 > 0, (n % 4 * 5000).cast("int")),
+        "severity": F.when(n % 9 > 0, (n % 4).cast("int"))}
+    rows = base.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(230)))).select(*[own.get(c, F.col(c)).alias(c) for c in base.columns])
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    for page in (3, 12):
+        got = [r["id"] for r in paging.deep_page(rows, page=page, sort=sort, order=order, most_rows=25).collect()]
+        assert got == [r["id"] for r in g.list_incidents(rows, page=page, sort=sort, order=order).collect()], page
+    assert len(got) == 10
+    assert paging.deep_page(rows, page=13, sort=sort, order=order).count() == 0
+
+
+def test_deep_page_sorts_few_rows(spark):
+    from alertloom.operators import paging
+
+    rows = spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("id"), F.lit(2).alias("severity"))
+    held, skip = paging._narrowed(rows, "severity", "desc", 2990, 20, 100)
+    assert held.count() <= 100 and held.orderBy("id").offset(skip).count() == 10
+    assert paging._narrowed(rows.limit(0), "severity", "asc", 0, 20, 100) is None
+
+
 def test_edits(spark):
     rows = table(spark, row(1), row(2))
     edits = spark.createDataFrame(
@@ -219,33 +245,74 @@ def test_labels_hosts_and_probabilities(spark):
     assert [h["share"] for h in hosts] == [100.0] * 4
 
 
-def test_table_outlives_batches_edits_and_compactions(spark, tmp_path):
-    from alertloom.operators.table import IncidentTable
-
-    def batch(*rows):
-        return table(spark, *rows).withColumn("_seq", F.monotonically_increasing_id())
+def test_table_rewrites_touched_days_only(spark, tmp_path):
+    from alertloom.operators.table import edit_rows, read_table, upsert_rows
 
     def edit(**values):
         return spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} string" for k in values))
 
     def state():
-        return {r["id"]: (r["status"], r["assigned_to"], r["analyst_notes"], r["event_count"]) for r in t.read().collect()}
+        return {r["id"]: (r["status"], r["assigned_to"], r["analyst_notes"], r["event_count"]) for r in read_table(spark, path).collect()}
+
+    def stamps():
+        return {p.parent.name: p.name for p in (tmp_path / "t").glob("*/*.parquet")}
 
     one, two, three = (f"{i:032d}" for i in (1, 2, 3))
-    t = IncidentTable(spark, str(tmp_path / "t"))
-    assert t.compact() is None and t.retire() == 0
-    t.append(batch(row(1), row(2)), 0)
-    first = state()
-    t.edit(edit(id=one, status="closed"), F.to_timestamp(F.lit("2027-01-01")), 0)
-    t.edit(edit(id=one, assigned_to="a", analyst_notes="n"), F.to_timestamp(F.lit("2027-01-02")), 1)
-    t.edit(edit(id=one, assigned_to="b"), F.to_timestamp(F.lit("2027-01-03")), 2)
-    assert state()[one] == ("closed", "b", "n", first[one][3]) and state()[two] == first[two]
-    assert t.compact() == 0 and state()[one][:3] == ("closed", "b", "n")
-    t.append(batch(row(1, **SECOND), row(3)), 1)
-    t.append(batch(row(1, **SECOND), row(3)), 1)  # a retry replaces it
-    before = state()
-    assert before[one][:3] == ("closed", "b", "n") and before[one][3] == SECOND["event_count"] and three in before
-    assert t.compact() == 1 and state() == before and t.compact() == 1
-    assert t.retire() > 0 and state() == before and t.retire() == 0
-    t.append(batch(row(2, **SECOND)), 2)
-    assert state()[two][3] == SECOND["event_count"] and state()[one] == before[one]
+    path, later = str(tmp_path / "t"), T0 + dt.timedelta(days=3)
+    assert state() == {}
+    upsert_rows(path, table(spark, row(1), row(2, created_at=later)))
+    first, files = state(), stamps()
+    assert len(files) == 2
+    edit_rows(path, edit(id=one, status="closed"), F.to_timestamp(F.lit("2027-01-01")))
+    edit_rows(path, edit(id=one, assigned_to="a", analyst_notes="n"), F.to_timestamp(F.lit("2027-01-02")))
+    edit_rows(path, edit(id=one, assigned_to="b"), F.to_timestamp(F.lit("2027-01-03")))
+    edit_rows(path, edit(id="missing", assigned_to="c"), F.to_timestamp(F.lit("2027-01-04")))
+    assert state() == {one: ("closed", "b", "n", first[one][3]), two: first[two]}
+    day, other = f"created_date={T0:%Y-%m-%d}", f"created_date={later:%Y-%m-%d}"
+    assert stamps()[other] == files[other] and stamps()[day] != files[day]
+    # a known id stays on its day, wherever its new row would fall; a new id opens its own
+    upsert_rows(path, table(spark, row(1, **{**SECOND, "created_at": later + dt.timedelta(days=9)}), row(3)))
+    got = state()
+    assert got[one] == ("closed", "b", "n", SECOND["event_count"]) and got[two] == first[two] and three in got
+    assert stamps()[other] == files[other] and set(stamps()) == {day, other}
+
+
+def test_interrupted_change_is_finished(spark, tmp_path):
+    import shutil
+
+    from alertloom.operators.table import read_table, upsert_rows
+
+    path = str(tmp_path / "t")
+    upsert_rows(path, table(spark, row(1), row(2)))
+    read_table(spark, path).write.parquet(f"{path}_staged")
+    shutil.rmtree(next((tmp_path / "t").glob("created_date=*")))  # as if ended between the removal of a day and its return
+    upsert_rows(path, table(spark, row(3)))  # finishes it first
+    assert read_table(spark, path).count() == 3 and not (tmp_path / "t_staged").exists()
+
+
+def _rows_scanned(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_look_up_skips_row_groups_without_the_id(spark, tmp_path):
+    """Random ids: every day's range of ids covers the one sought, so only sorted row groups and bloom filters can tell days apart."""
+    spark.conf.set("parquet.block.size", 1 << 14)
+    spark.conf.set("parquet.page.size.row.check.min", 10)
+    try:
+        base = table(spark, row(1))
+        n = F.col("n")
+        rows = base.drop("id", "created_at").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(3999)))).select(
+            F.md5(n.cast("string")).alias("id"), (F.lit(T0) + F.make_dt_interval((n % 4).cast("int"))).alias("created_at"), "*").drop("n")
+        path = str(tmp_path / "t")
+        store.write_incidents(rows.select(*base.columns), path)
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.conf.unset("parquet.page.size.row.check.min")
+    found = store.read_incidents(spark, path)
+    for number in (0, 1234, 3999):
+        got = g.get(found, hashlib.md5(str(number).encode()).hexdigest())
+        assert got.count() == 1 and _rows_scanned(got) < 1000  # of 4 000, 1 000 a day
+    assert _rows_scanned(g.get(found, "8" * 32)) == 0
