@@ -1,9 +1,8 @@
 """Port scans: many distinct ports of one source within seconds, then silence for a while.
 
-Both steps need the order of a source's events. Spark partitions and sorts them and Python
-sees a stream. A hot source is cut into time slices; what a slice needs from the ones before
-it is small (the latest distinct ports, the latest firing) and is worked out from summaries
-of the slices, so no task reads a whole source.
+Both steps need the order of a source's events. Distinct ports are counted by windows alone; for the silence Spark partitions and sorts
+and Python sees a stream. A hot source is cut into time slices; what a slice needs from the ones before it is small (the number of open
+ports, the latest firing) and is worked out from summaries of the slices, so no task reads a whole source.
 """
 
 from bisect import bisect_right
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from alertloom.operators.detect import detected
 from alertloom.operators.skew import TARGET_ROWS, with_chunks
+from alertloom.session import shared_dir
 
 CHUNK = ["srcip", "chunk"]
 
@@ -23,74 +23,49 @@ def _sorted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_start", F.lag("kind").over(order).isNull())
 
 
-def _spread(ports: int, span_us: int):
-    """Kernel: rows at which ``ports`` distinct ports were seen within ``span_us``."""
+def _port_ghosts(rows: DataFrame) -> DataFrame:
+    """For each port of a slice, the port's last hit before the slice and its first after it, as ``kind`` 0 rows of the slice."""
+    ends = rows.groupBy(*CHUNK, "dstport").agg(F.min("ts_us").alias("first"), F.max("ts_us").alias("last"))
+    slices = Window.partitionBy("srcip", "dstport").orderBy("chunk")
+    near = F.array_compact(F.array(F.lag("last").over(slices), F.lead("first").over(slices)))
+    return ends.withColumn("ts_us", near).select(*CHUNK, "dstport", F.explode("ts_us").alias("ts_us"), F.lit(0).alias("kind"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        latest: dict = {}  # port -> last time, oldest first, the most recent ``ports`` only
-        for batch in batches:
-            found = []
-            columns = (batch.column(c).to_pylist() for c in ("_start", "kind", "dstport", "ts_us"))
-            for i, (start, kind, port, ts) in enumerate(zip(*columns)):
-                if start:
-                    latest = {}
-                latest.pop(port, None)
-                latest[port] = ts
-                if len(latest) > ports:
-                    del latest[next(iter(latest))]
-                if kind == 1 and len(latest) == ports and ts - latest[next(iter(latest))] <= span_us:
-                    found.append(i)
-            if found:
-                yield batch.take(pa.array(found, pa.int64()))
-
-    return run
-
-
-_PORT_CARRY = "srcip string, chunk bigint, kind int, ts_us bigint, dstport string"
-
-
-def _port_carries(rows: DataFrame, ports: int) -> DataFrame:
-    """``kind`` 0 rows of each slice: the latest distinct ports before it, with their times."""
-    per_port = rows.groupBy(*CHUNK, "dstport").agg(F.max("ts_us").alias("ts_us"))
-    newest = F.row_number().over(Window.partitionBy(*CHUNK).orderBy(F.desc("ts_us"), "dstport"))
-    ends = per_port.withColumn("_newest", newest).filter(F.col("_newest") <= ports).drop("_newest")
-    order = Window.partitionBy("srcip").orderBy("chunk", "ts_us", "dstport")
-    previous = F.lag("chunk").over(order)
-    flagged = ends.withColumn("_start", previous.isNull()).withColumn(
-        "_turn", F.coalesce(previous != F.col("chunk"), F.lit(True)))
-
-    def run(batches):
-        schema = pa.schema([("srcip", pa.string()), ("chunk", pa.int64()), ("kind", pa.int32()),
-                            ("ts_us", pa.int64()), ("dstport", pa.string())])
-        latest: dict = {}
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                if r["_start"]:
-                    latest = {}
-                elif r["_turn"]:
-                    out += [{"srcip": r["srcip"], "chunk": r["chunk"], "kind": 0, "ts_us": t, "dstport": p}
-                            for p, t in latest.items()]
-                latest.pop(r["dstport"], None)
-                latest[r["dstport"]] = r["ts_us"]
-                if len(latest) > ports:
-                    del latest[next(iter(latest))]
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return flagged.mapInArrow(run, _PORT_CARRY)
+def _open_ports(steps: DataFrame) -> DataFrame:
+    """Per slice, a row before all others with the number of ports that are open when it begins."""
+    sums = steps.groupBy(*CHUNK).agg(F.sum("change").alias("change"))
+    earlier = Window.partitionBy("srcip").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.withColumn("change", F.sum("change").over(earlier)).filter("change is not null").withColumn("kind", F.lit(-1))
 
 
 def distinct_ports(events: DataFrame, seconds: int, ports: int, split: str = "auto",
                    target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Events at which their source has hit ``ports`` distinct ports within ``seconds``."""
+    """Events at which their source has hit ``ports`` distinct ports within ``seconds``.
+
+    A port opens at a hit with none of the same port in the ``seconds`` before it, and closes that long after a hit with none to follow
+    in time; so it is open just while the trailing window holds it, and the running sum of openings less closings is the number of
+    distinct ports. Windows over one shuffle by source, or by slice of a hot source, whose sums are carried over slices.
+    """
+    span_us = seconds * 1_000_000
     chunked, sliced = with_chunks(events, ["srcip"], split, target_rows)
     rows = chunked.withColumn("kind", F.lit(1))
     if sliced:
-        carries = _port_carries(rows.filter(F.col("chunk") > 0), ports)
-        rows = rows.unionByName(carries, allowMissingColumns=True)
-    ordered = _sorted(rows)
-    return ordered.mapInArrow(_spread(ports, seconds * 1_000_000), ordered.schema).select(*events.columns)
+        rows = rows.unionByName(_port_ghosts(rows.filter(F.col("chunk") > 0)), allowMissingColumns=True)
+    port = Window.partitionBy(*CHUNK, "dstport").orderBy("ts_us", "event_id")
+    opens = F.coalesce(F.col("ts_us") - F.lag("ts_us").over(port) > span_us, F.lit(True))
+    closes = F.coalesce(F.lead("ts_us").over(port) - F.col("ts_us") > span_us, F.lit(True))
+    hits = rows.repartition(*(CHUNK if sliced else ["srcip"])).withColumn("_opens", opens).withColumn("_closes", closes).filter("kind = 1")
+    hit = F.struct(F.lit(1).alias("kind"), F.col("ts_us"), F.col("_opens").cast("int").alias("change"))
+    close = F.struct(F.lit(0).alias("kind"), (F.col("ts_us") + span_us + 1).alias("ts_us"), F.lit(-1).alias("change"))
+    kept = [c for c in events.columns if c != "ts_us"]
+    steps = hits.select(*kept, "chunk", F.inline(F.array_compact(F.array(hit, F.when(F.col("_closes"), close)))))
+    if sliced:
+        shared_dir(events.sparkSession)
+        steps, _ = with_chunks(steps.drop("chunk").checkpoint(), ["srcip"], "always", target_rows)
+        steps = steps.unionByName(_open_ports(steps.filter(F.col("chunk") > 0)), allowMissingColumns=True)
+    source = Window.partitionBy(*CHUNK).orderBy(F.col("ts_us").asc_nulls_first(), "kind", "event_id")
+    count = F.sum("change").over(source.rowsBetween(Window.unboundedPreceding, 0))
+    return steps.withColumn("_count", count).filter((F.col("kind") == 1) & (F.col("_count") >= ports)).select(*events.columns)
 
 
 def _first_of_quiet(ignore_us: int):

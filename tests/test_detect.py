@@ -92,6 +92,24 @@ def test_port_scan_cases(spark):
     assert fired(scan(range(20), action="pass")) == []
 
 
+@pytest.mark.parametrize("split,target", [("never", 1), ("always", 3)])
+def test_distinct_ports_edges(spark, split, target):
+    """A port closes just after ``seconds``, a missing port is a port, hits of one microsecond follow by id, nothing is lost of a null source."""
+    rows = [("a", "1", 0, "0"), ("a", None, 10 * S, "1"), ("a", "2", 30 * S, "2"), ("a", "3", 30 * S + 1, "3"), ("a", "3", 30 * S + 1, "4"),
+            ("a", "1", 60 * S, "5"), ("a", "2", 60 * S, "6"), ("a", "9", 60 * S + 1, "7"), ("a", "9", 200 * S, "8"),
+            (None, "1", 0, "9"), (None, "2", 0, "10"), (None, "3", 1, "11")]
+    df = spark.createDataFrame(rows, "srcip string, dstport string, ts_us bigint, event_id string")
+    found = {r["event_id"] for r in portscan.distinct_ports(df, 30, 3, split, target).collect()}
+    assert found == {"2", "3", "4", "5", "6", "7", "11"}
+    assert portscan.distinct_ports(df.limit(0), 30, 3, split, target).count() == 0
+
+
+def test_distinct_ports_need_one_shuffle(spark):
+    df = spark.range(10).selectExpr("'a' srcip", "string(id) dstport", "id ts_us", "string(id) event_id")
+    plan = portscan.distinct_ports(df, 30, 3, "never")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
 @pytest.mark.parametrize("split,target", SPLITS)
 def test_ssh_brute_force_matches_simulation(spark, split, target):
     data = sources(12)
