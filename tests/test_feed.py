@@ -1,6 +1,7 @@
 """Parsing, normalisation and enrichment on hand-made lines."""
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,3 +140,12 @@ def test_run_log_and_matrix(spark, tmp_path):
         'DOS-01,alert_storm,nmap,x {t},multiple hosts,10,100201+CORR-004,"a, b"\n')
     m = tables.read_attack_matrix(spark, str(tmp_path / "m.csv")).first()
     assert (m["repetitions"], m["notes"]) == (10, "a, b")
+
+
+def test_timed_ingest_leaves_undated_alerts_out(spark):
+    dated = {"id": "1", "timestamp": "2024-01-01T00:00:00.000+0000", "rule": {"level": 3, "id": "5710"}}
+    lines = [json.dumps(r) for r in (dated, {**dated, "id": "2", "timestamp": None}, {**dated, "id": "3", "timestamp": "soon"},
+                                     {**dated, "id": "4", "timestamp": "2999-01-01T00:00:00.000+0000"})]
+    df = spark.createDataFrame([(r,) for r in lines], "value string")
+    assert {r["_event_id"] for r in feed.ingest(df, timed=True).collect()} == {"1"}
+    assert feed.ingest(df).count() == 4
