@@ -8,6 +8,10 @@ a longer prefix meets more n-grams of others but asks more matches of a candidat
 ``l`` of least estimated cost is taken. Two documents are a candidate if their prefixes share the smaller of their two ``l``; their first
 common n-gram is within the prefixes for l = 1 of both, so only those are posted.
 
+The prefixes also bound the whole overlap. Of two sets let x be the one whose prefix ends first in the order. A common n-gram in x's prefix
+is in the other's prefix too, so there are at most as many common ones as the prefixes share and x has beyond its prefix. A pair whose bound
+is too small is no candidate, and its full sets are not fetched.
+
 How often n-grams occur is counted over all documents in a table of ``CELLS`` counters by hash, whose size is fixed; it only
 decides the order and the choice of ``l``, and the result is exact whatever it says.
 
@@ -23,6 +27,7 @@ is that of its class, null if no row of the class has an id. An empty table give
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -62,8 +67,9 @@ def cells(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def prefix(s: np.ndarray, counts: np.ndarray, usual: int, share: Share) -> tuple[int, int, np.ndarray]:
-    """The matches ``l`` that a set asks for, the length of its prefix for one match, and its prefix for ``l``."""
+def prefix(s: np.ndarray, counts: np.ndarray, usual: int, share: Share) -> tuple[int, int, np.ndarray, int]:
+    """The matches ``l`` that a set asks for, the length of its prefix for one match, its prefix for ``l``, and where that ends: a number
+    that never falls along the order (equal for n-grams that lie close)."""
     of = counts[cells(s)]
     order = np.lexsort((s, of))
     overlap = least_overlap(len(s), share)
@@ -72,7 +78,8 @@ def prefix(s: np.ndarray, counts: np.ndarray, usual: int, share: Share) -> tuple
     met = np.cumsum(np.maximum(of[order[: one + most - 1]] - usual, 0))[one - 1 :]  # by the prefixes for 1, 2, … matches
     asked = np.arange(1, most + 1)
     at = int(np.argmin(met * (1 + len(s) / MERGED / asked)))
-    return at + 1, one, s[order[: one + at]]
+    end = order[one + at - 1]
+    return at + 1, one, s[order[: one + at]], (min(int(of[end]), (1 << 40) - 1) << 23) | (int(s[end]) >> 41)
 
 
 def _profile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -121,7 +128,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, share: Share, held)
             found = [prefix(s, counts, usual, share) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 pa.array(map(set_name, sets), pa.binary()), pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.int32()),
-                pa.array([f[2].view(np.int64) for f in found], pa.list_(pa.int64()))], ["set_id", "asked", "one", "prefix"])
+                pa.array([f[2].view(np.int64) for f in found], pa.list_(pa.int64())), pa.array([f[3] for f in found], pa.int64())],
+                ["set_id", "asked", "one", "prefix", "end"])
 
 
 def _named_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -181,11 +189,20 @@ def shared_counts(prefixes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fitting(key: int, whole: bool, side, component, asked, n, prefixes, lists, share: Share) -> np.ndarray:
+def most_overlap(shared: np.ndarray, n: np.ndarray, prefixes: list[np.ndarray], end: np.ndarray) -> np.ndarray:
+    """The most n-grams that any two sets can have in common, if their prefixes have ``shared``."""
+    beyond = n - np.array([len(p) for p in prefixes])
+    first, last = end[:, None] < end, end[:, None] > end
+    return shared + np.where(first, beyond[:, None], np.where(last, beyond, np.maximum.outer(beyond, beyond)))
+
+
+def fitting(key: int, whole: bool, side, component, asked, n, end, prefixes, lists, share: Share) -> np.ndarray:
     """Which pairs (i < j) of a block are of different components, of different sides unless the block is ``whole``, of near sizes, share
     enough of their prefixes, and no earlier list."""
     of, in_ = share
-    fit = np.triu(shared_counts(prefixes) >= np.minimum.outer(asked, asked), 1)
+    shared = shared_counts(prefixes)
+    fit = np.triu(shared >= np.minimum.outer(asked, asked), 1)
+    fit &= most_overlap(shared, n, prefixes, end) * (of + in_) >= np.add.outer(n, n) * of
     fit &= (component[:, None] != component) & (np.minimum.outer(n, n) * in_ >= np.maximum.outer(n, n) * of)
     if not whole:
         fit &= side[:, None] != side
@@ -214,15 +231,15 @@ def block_links(fit: np.ndarray, ids, component, sets, share: Share) -> list[tup
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], share: Share, confirm: bool) -> Iterator[pa.RecordBatch]:
-    """Of blocks of sorted rows (key, low, high, side, id, component, asked, n, prefix, lists, then shingles) the links, or if not yet to
+    """Of blocks of sorted rows (key, low, high, side, id, component, asked, n, end, prefix, lists, then shingles) the links, or if not yet to
     ``confirm`` the members that fit to another one."""
     def seen(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key, low, high, side, ids, component, asked, n = (batch.column(i).to_numpy() for i in range(8))
-        arrays = [[batch.column(i)[k].values.to_numpy() for k in range(batch.num_rows)] for i in range(8, batch.num_columns)]
+        key, low, high, side, ids, component, asked, n, end = (batch.column(i).to_numpy() for i in range(9))
+        arrays = [[batch.column(i)[k].values.to_numpy() for k in range(batch.num_rows)] for i in range(9, batch.num_columns)]
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
         found, kept = [], np.zeros(len(key), bool)
         for a, b in zip(new, [*new[1:], len(key)]):
-            fit = fitting(key[a], low[a] == high[a], side[a:b], component[a:b], asked[a:b], n[a:b], arrays[0][a:b], arrays[1][a:b], share)
+            fit = fitting(key[a], low[a] == high[a], side[a:b], component[a:b], asked[a:b], n[a:b], end[a:b], arrays[0][a:b], arrays[1][a:b], share)
             if confirm:
                 found += block_links(fit, ids[a:b], component[a:b], [s.view(np.uint64) for s in arrays[2][a:b]], share)
             else:
@@ -260,9 +277,10 @@ def ngram_join(docs: DataFrame, width: int = 5, share: Share = (4, 5)) -> DataFr
     classes = classes.groupBy("set_id").agg(F.min(F.struct("doc_id", "times", "n")).alias("c")).select("set_id", "c.*")
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     counts = spark.sparkContext.broadcast(zlib.compress(added(profiles).tobytes(), 1))
-    made = texts.select("text").mapInArrow(partial(_prefixes, width=width, share=share, held=counts), "set_id binary, asked int, one int, prefix array<long>")
-    made = made.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("asked", "one", "prefix")])
-    own = stored(classes.join(made, "set_id").select("id", "n", "asked", "one", "prefix"), "prefixes")
+    made = texts.select("text").mapInArrow(partial(_prefixes, width=width, share=share, held=counts), "set_id binary, asked int, one int, prefix array<long>, end long")
+    made = made.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("asked", "one", "prefix", "end")])
+    own = stored(classes.join(made, "set_id").select("id", "n", "asked", "one", "prefix", "end"), "prefixes")
+    sizes_of = own.select("id", "n")
 
     # Lists with company; of those with the same members one.
     postings = own.select("id", F.explode(F.slice("prefix", F.lit(1), F.col("one"))).alias("key"))
@@ -276,10 +294,15 @@ def ngram_join(docs: DataFrame, width: int = 5, share: Share = (4, 5)) -> DataFr
 
     # Members and their hubs, of each member first the likeliest hub, then the others still apart.
     of, in_ = share
-    pairs = members.filter("id != hub").select("hub", "id").distinct().join(own.drop("one"), "id")
-    pairs = salted_join(pairs, own.select(F.col("id").alias("hub"), F.col("n").alias("m"), F.col("asked").alias("hub_asked"), F.col("prefix").alias("hub_prefix")),
-                        "hub", F.col("id"), "inner").filter(F.least("n", "m") * in_ >= F.greatest("n", "m") * of)
+    pairs = members.filter("id != hub").select("hub", "id").distinct().join(sizes_of, "id")
+    pairs = salted_join(pairs, sizes_of.select(F.col("id").alias("hub"), F.col("n").alias("m")), "hub", F.col("id"), "inner")
+    pairs = stored(pairs.filter(F.least("n", "m") * in_ >= F.greatest("n", "m") * of), "near")
+    pairs = pairs.join(own.drop("one", "n"), "id")
+    pairs = salted_join(pairs, own.select(F.col("id").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("asked", "prefix", "end")]), "hub", F.col("id"), "inner")
     pairs = pairs.withColumn("shared", F.explode(F.array(F.size(F.array_intersect("prefix", "hub_prefix"))))).filter("shared >= least(asked, hub_asked)")
+    beyond, hub_beyond = F.col("n") - F.size("prefix"), F.col("m") - F.size("hub_prefix")
+    most = F.col("shared") + F.when(F.col("end") < F.col("hub_end"), beyond).when(F.col("end") > F.col("hub_end"), hub_beyond).otherwise(F.greatest(beyond, hub_beyond))
+    pairs = pairs.filter(most * (of + in_) >= (F.col("n") + F.col("m")) * of)
     pairs = stored(pairs.select("hub", "id", (F.col("shared") / F.least("n", "m")).alias("likely")), "candidates")
     linker = ClassLinker(docs, width, share, classes)
     first = pairs.groupBy("id").agg(F.max(F.struct("likely", "hub")).alias("p")).select(F.col("p.hub").alias("u"), F.col("id").alias("v"))
@@ -289,19 +312,26 @@ def ngram_join(docs: DataFrame, width: int = 5, share: Share = (4, 5)) -> DataFr
     rest = linker.component(linker.component(rest, "u", "cu"), "v", "cv").filter("cu != cv")
     linker.confirm(rest.select("u", "v"), sets)
 
-    # Members that are still apart from another one than the hub, in blocks.
-    others = stored(linker.component(members.filter("id != hub").filter("size > 2"), "id", "component"), "others")
-    apart = others.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("members")).filter("a != b").select("key", "members")
-    apart = stored(apart, "apart")
-    others = stored(salted_join(others.select("key", "id", "component"), apart, "key", F.col("id"), "inner", counts=apart.withColumnRenamed("members", "_n")), "others")
+    # Members that are still apart from another one of near size than the hub, in blocks. Near sizes lie in one step or in neighbouring ones.
+    step = F.floor(F.log("n") / (math.log(in_ / of) * 1.001 if of < in_ else 1e-9))
+    others = linker.component(members.filter("id != hub").filter("size > 2"), "id", "component").join(sizes_of, "id")
+    others = stored(others.select("key", "id", "component", F.struct("key", step.alias("step")).alias("slot")), "others")
+    slots = others.groupBy("slot").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("own"))
+    slots = slots.select("a", "b", "own", "slot.*").withColumn("by", F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)])))
+    slots = slots.groupBy("key", (F.col("step") + F.col("by")).alias("step")).agg(
+        F.min("a").alias("a"), F.max("b").alias("b"), F.sum(F.when(F.col("by") == 0, F.col("own"))).alias("own"))
+    slots = stored(slots.filter("a != b and own > 0").select(F.struct("key", "step").alias("slot"), "own"), "slots")
+    apart = slots.join(slots.groupBy(F.col("slot.key").alias("_key")).agg(F.sum("own").alias("members")), F.col("slot.key") == F.col("_key")).select("slot", "members")
+    others = salted_join(others, apart, "slot", F.col("id"), "inner", counts=slots.withColumnRenamed("own", "_n"))
+    others = stored(others.select("key", "id", "component", "members"), "others")
     of_one = others.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("lists"))  # at most the length of a prefix
-    whole = stored(own.select("id", F.col("asked").cast("long").alias("asked"), "n", "prefix").join(of_one, "id"), "whole")
+    whole = stored(own.select("id", F.col("asked").cast("long").alias("asked"), "n", "end", "prefix").join(of_one, "id"), "whole")
     blocks = F.ceil(F.col("members") / BLOCK)
     others = others.withColumn("side", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     others = others.select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "id", "component")
 
     def dealt(rows: DataFrame, *more: str) -> DataFrame:
-        rows = rows.select("key", "low", "high", "side", "id", "component", "asked", "n", "prefix", "lists", *more)
+        rows = rows.select("key", "low", "high", "side", "id", "component", "asked", "n", "end", "prefix", "lists", *more)
         return rows.repartition(partitions(spark), "key", "low", "high").sortWithinPartitions("key", "low", "high", "id")
 
     fit = dealt(others.join(whole.hint("merge"), "id")).mapInArrow(partial(_blocks, share=share, confirm=False), "key long, low long, high long, id long")

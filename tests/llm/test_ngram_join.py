@@ -6,7 +6,7 @@ from edge import LONG, TEXTS, documents, nothing
 
 from alertloom.llm import ngram_join
 from alertloom.llm.near_dedup import shingles
-from alertloom.llm.ngram_join import least_overlap, prefix
+from alertloom.llm.ngram_join import least_overlap, most_overlap, prefix, shared_counts
 
 
 def by_hand(rows, width, of, in_):
@@ -105,9 +105,11 @@ def test_prefixes_share_what_they_ask_for():
         b = np.unique(np.r_[kept, rnd.integers(0, 1 << 63, int(rnd.integers(0, max(1, n // 10))), dtype=np.uint64)])
         common = np.intersect1d(a, b)
         if 100 * len(common) >= 85 * (len(a) + len(b) - len(common)):
-            la, oa, pa = prefix(a, counts, 0, share)
-            lb, ob, pb = prefix(b, counts, 0, share)
+            la, oa, pa, ea = prefix(a, counts, 0, share)
+            lb, ob, pb, eb = prefix(b, counts, 0, share)
             asked |= {la, lb}
+            most = most_overlap(shared_counts([pa, pb]), np.array([len(a), len(b)]), [pa, pb], np.array([ea, eb]))
+            assert most[0, 1] == most[1, 0] >= len(common)
             assert len(np.intersect1d(pa, pb)) >= min(la, lb) and len(np.intersect1d(pa[:oa], pb[:ob])) >= 1
     assert len(asked) > 2  # the choice adapts
 
