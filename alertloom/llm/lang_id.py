@@ -6,7 +6,7 @@ text's probabilities are the mean over its windows, by the bytes they hold. The
 the labelled texts: ``EACH`` texts of a language, fewer of each if the languages are so many that these would be more than ``TEXTS`` in
 all, and ``WINDOWS`` windows spread evenly over each. Every language is learned.
 
-Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text if there is nothing to learn from. Repeated
+Defined cases: a text that is null or has no letter (of Unicode's category L) is ``und`` with score 0, as is every text if there is nothing to learn from. Repeated
 rows get equal predictions. Rows without language or doc_id are not learned from.
 """
 
@@ -32,9 +32,14 @@ EACH, TEXTS, WINDOWS = 400, 80_000, 6
 LEAST = 20
 EPOCHS, BATCH, RATE = 6, 64, 0.01
 UNKNOWN = "und"
+#: Letters, and the number-like characters among those of words.
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def windows_of(text: str) -> np.ndarray:
     data = np.frombuffer(text.lower().encode(), np.uint8)
     out = np.zeros((max(1, -(-len(data) // LENGTH)), LENGTH), np.uint8)
@@ -121,7 +126,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, langs, parts = [], [], []
         for doc_id, lang, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if LETTER.search(text):
+            if has_letter(text):
                 every = windows_of(text)
                 chosen = np.unique(np.linspace(0, len(every) - 1, min(WINDOWS, len(every))).astype(int))
                 ids.append(doc_id)
@@ -153,7 +158,7 @@ def _predict(batches: Iterator[pa.RecordBatch], langs: list[str], net: Network |
             part = batch.slice(at, 64)
             texts = part.column(1).to_pylist()
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            known = [k for k, t in enumerate(texts) if net and t and LETTER.search(t)]
+            known = [k for k, t in enumerate(texts) if net and t and has_letter(t)]
             if known:
                 windows = [windows_of(texts[k]) for k in known]
                 every = np.concatenate(windows)
@@ -186,7 +191,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 def _keep(batches: Iterator[pa.RecordBatch], langs: list[str], net: Network | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if net is None:
-            yield batch.filter(pa.array([bool(t and LETTER.search(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([bool(t and has_letter(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
             continue
         pair = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text")], ["doc_id", "text"])
         said = pa.Table.from_batches(_predict(iter([pair]), langs, net)).to_pydict()

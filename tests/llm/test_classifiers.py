@@ -28,6 +28,29 @@ def test_language_edge_cases(spark):
     assert {r["lang_pred"] for r in lang_id.identify(docs, [], None).collect()} == {"und"}
 
 
+def test_number_like_characters_are_no_letters(spark):
+    docs = documents(spark, [(1, "½ ² Ⅷ ๒ _ 7"), (2, "½ é"), (3, "語"), (4, "ʰ"), (5, "\u0301")])
+    langs, net = lang_id.train(docs)
+    assert [r["lang_pred"] for r in lang_id.identify(docs, langs, net).orderBy("doc_id").collect()] == ["und", "en", "en", "en", "und"]
+    assert sorted(r["doc_id"] for r in lang_id.keep_identified(docs).collect()) == [2, 3, 4]
+
+
+def test_forward_pass_is_a_plain_convolution():
+    rnd = np.random.default_rng(3)
+    net, x = lang_id.Network(4), rnd.integers(0, 256, (3, lang_id.LENGTH)).astype(np.uint8)
+    embedding, filters, bias, out, out_bias = (w.astype(np.float64) for w in net.weights)
+    kinds = [w for w in lang_id.WIDTHS for _ in range(lang_id.FILTERS)]
+    for window, got in zip(x, net.probabilities(x)):
+        padded = [*window, *[0] * (max(lang_id.WIDTHS) - 1)]
+        pooled = []
+        for f, width in enumerate(kinds):
+            places = [sum(embedding[padded[at + k]] @ filters[k * lang_id.EMBEDDING : (k + 1) * lang_id.EMBEDDING, f] for k in range(width))
+                      for at in range(lang_id.LENGTH)]
+            pooled.append(max(0.0, max(places) + bias[f]))
+        z = np.exp(np.array(pooled) @ out + out_bias)
+        assert np.allclose(got, z / z.sum(), atol=1e-5)
+
+
 def test_language_stage_keeps_an_unlabelled_corpus(spark):
     docs = documents(spark, [*TEXTS, (50, "123 !?")]).withColumn("lang", F.lit(None).cast("string"))
     kept = lang_id.keep_identified(docs)
