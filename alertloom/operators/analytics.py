@@ -131,6 +131,11 @@ def _containing(text: str) -> str:
     return "%" + text.replace("\\", "\\\\") + "%"
 
 
+def search_patterns(text: str) -> tuple[str, str]:
+    """What a record as JSON and what a plain text must be like to contain ``text``."""
+    return _containing(json.dumps(text, ensure_ascii=False)[1:-1]), _containing(text)
+
+
 @dataclass(frozen=True)
 class Filters:
     """Conditions of the incident list; empty text and None are off, severity 0 is on."""
@@ -149,9 +154,9 @@ class Filters:
         if self.category:
             on = on & F.col("category").ilike(_containing(self.category))
         if self.search:
-            pattern = _containing(self.search)
+            in_record, pattern = search_patterns(self.search)
             on = on & (
-                F.to_json("raw_incident").ilike(_containing(json.dumps(self.search, ensure_ascii=False)[1:-1]))
+                F.to_json("raw_incident").ilike(in_record)
                 | F.col("category").ilike(pattern)
                 | F.coalesce(F.exists("target_hosts", lambda h: h.ilike(pattern)), F.lit(False))
             )

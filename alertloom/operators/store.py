@@ -144,6 +144,13 @@ def save_days(rows: DataFrame, path: str, replace_days: bool = False) -> None:
      .parquet(path))
 
 
+def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows whose ``created_date`` is in ``days``; other days are pruned. There are no more days than the calendar has."""
+    found = [r[0] for r in days.select(F.date_format("created_date", "yyyy-MM-dd")).distinct().collect()]
+    wanted = F.col("created_date").isin([F.to_date(F.lit(d)) for d in found if d is not None])
+    return rows.filter(wanted | F.col("created_date").isNull() if None in found else wanted)
+
+
 def write_incidents(rows: DataFrame, path: str) -> None:
     """A snapshot of the table partitioned by creation day."""
     save_days(rows.withColumn("created_date", F.to_date("created_at")), path)

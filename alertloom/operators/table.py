@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alertloom.functions.sizing import broadcast_if_small
 from alertloom.operators.analytics import EDITABLE, apply_edits
-from alertloom.operators.store import fold_upserts, incident_row_schema, save_days, upsert
+from alertloom.operators.postings import has_postings, write_postings
+from alertloom.operators.store import fold_upserts, incident_row_schema, on_days, save_days, upsert
 from alertloom.sources import files
 
 _DAY = "created_date"
@@ -23,10 +24,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _finish(spark: SparkSession, path: str) -> None:
-    """Put the staged days in place, if any are staged whole."""
+    """Put the staged days in place, if any are staged whole, and their postings if the table has any."""
     staged = f"{path}_staged"
     if files.exists(spark, f"{staged}/_SUCCESS"):
-        save_days(spark.read.schema(incident_row_schema().add(_DAY, "date")).parquet(staged), path, replace_days=True)
+        days = spark.read.schema(incident_row_schema().add(_DAY, "date")).parquet(staged)
+        save_days(days, path, replace_days=True)
+        if has_postings(spark, path):
+            write_postings(days, path, replace_days=True)
         files.delete(spark, staged)
 
 
@@ -46,13 +50,6 @@ def _days_of(table: DataFrame, ids: DataFrame) -> DataFrame:
     return table.select("id", _DAY).join(broadcast_if_small(ids), "id", "left_semi")
 
 
-def _on(table: DataFrame, days: DataFrame) -> DataFrame:
-    """The rows of some days; other days are pruned. There are no more days than the calendar has."""
-    found = [r[0] for r in days.select(F.date_format(_DAY, "yyyy-MM-dd")).distinct().collect()]
-    wanted = F.col(_DAY).isin([F.to_date(F.lit(d)) for d in found if d is not None])
-    return table.filter(wanted | F.col(_DAY).isNull() if None in found else wanted)
-
-
 def upsert_rows(path: str, rows: DataFrame) -> None:
     """Upsert rows, with ``_seq``, their place in the source, if ids repeat. A known id keeps its first row's day and fixed columns."""
     spark = rows.sparkSession
@@ -64,7 +61,7 @@ def upsert_rows(path: str, rows: DataFrame) -> None:
     known = _days_of(table, batch.select("id"))
     days = batch.select("id", F.to_date("created_at").alias("_own")).join(known.withColumn("_known", F.lit(True)), "id", "left")
     touched = days.select(F.when(F.col("_known"), F.col(_DAY)).otherwise(F.col("_own")).alias(_DAY))
-    merged = upsert(_on(table, touched).drop(_DAY), batch)
+    merged = upsert(on_days(table, touched).drop(_DAY), batch)
     _replace(merged.withColumn(_DAY, F.to_date("created_at")), path)
 
 
@@ -78,4 +75,4 @@ def edit_rows(path: str, edits: DataFrame, as_of: Column) -> None:
     table = read_table(spark, path)
     batch = _incoming(edits.select("id", *given, place.alias("_seq")), path)
     days = _days_of(table, batch.select("id"))
-    _replace(apply_edits(_on(table, days), batch, as_of, F.col("_seq")), path)
+    _replace(apply_edits(on_days(table, days), batch, as_of, F.col("_seq")), path)

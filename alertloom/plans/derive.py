@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alertloom.functions.columns import lookup
 from alertloom.functions.normalize import enrich, normalize
-from alertloom.operators import correlate, labeling, store
+from alertloom.operators import correlate, labeling, postings, store
 from alertloom.operators.model import inference
 from alertloom.operators.rules import RULES, scaled
 from alertloom.session import work_path
@@ -77,6 +77,15 @@ def stored_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_incidents(spark, _stored[key])
 
 
+def searchable_incidents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The stored incidents and their path, beside which postings for searches are written once per application."""
+    rows = stored_incidents(spark, sf_dir)
+    path = _stored[spark.sparkContext.applicationId, sf_dir]
+    if not postings.has_postings(spark, path):
+        postings.write_postings(rows, path)
+    return rows, path
+
+
 def newest(rows: DataFrame) -> Column:
     return rows.agg(F.max("created_at")).scalar()
 

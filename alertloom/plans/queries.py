@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from alertloom.constants import RETENTION_DAYS
 from alertloom.functions.columns import micros
 from alertloom.functions.normalize import enrich, normalize
-from alertloom.operators import analytics as g, correlate, detect, evaluate, labeling, paging, portscan, store
+from alertloom.operators import analytics as g, correlate, detect, evaluate, labeling, paging, portscan, postings, store
 from alertloom.operators import model as classifier
 from alertloom.operators.features import features
 from alertloom.operators.rules import fan_out, match_counts
@@ -392,19 +392,23 @@ def q_page_meta(spark, sf_dir):
 
 @query
 def q_search(spark, sf_dir):
-    """Incidents that mention a text anywhere."""
-    found = d.stored_incidents(spark, sf_dir).filter(g.Filters(search="WEB-srv").condition())
+    """Incidents that mention a text anywhere, found by postings."""
+    found = postings.search(*d.searchable_incidents(spark, sf_dir), g.Filters(search="WEB-srv"))
     return found.groupBy("category").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
 @query
 def q_search_escape(spark, sf_dir):
-    """Incidents that mention a text with a backslash, in their hosts or in the record."""
+    """Incidents that mention a text with a backslash, in their hosts or in the record, found by postings."""
     named = F.transform("target_hosts", lambda h: F.concat(F.lit("corp\\"), h))
     key = F.concat(F.lit("corp\\"), F.col("raw_incident.correlation_key"))
     rows = d.stored_incidents(spark, sf_dir).withColumn("target_hosts", named).withColumn(
         "raw_incident", F.col("raw_incident").withField("correlation_key", key))
-    parts = [rows.filter(g.Filters(search=text).condition()).select(F.lit(text).alias("searched"), "id")
+    path = work_path(spark, "searched", uuid.uuid4().hex)
+    store.save_days(rows, path)
+    rows = store.read_incidents(spark, path)
+    postings.write_postings(rows, path)
+    parts = [postings.search(rows, path, g.Filters(search=text)).select(F.lit(text).alias("searched"), "id")
              for text in ("corp\\WEB-srv", "CORP\\recon")]
     return reduce(DataFrame.unionByName, parts)
 
