@@ -49,6 +49,7 @@ def write_postings(rows: DataFrame, path: str, replace_days: bool = False) -> No
     (postings(rows).hint("rebalance", "created_date").sortWithinPartitions("created_date", "gram", "id")
      .write.mode("overwrite").partitionBy("created_date")
      .option("partitionOverwriteMode", "dynamic" if replace_days else "static")
+     .option("compression", "zstd")  # the reader failed on postings written with lz4_raw
      .option("parquet.bloom.filter.enabled#gram", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
      .parquet(postings_path(path)))
 
