@@ -30,7 +30,7 @@ def _finish(spark: SparkSession, path: str) -> None:
         days = spark.read.schema(incident_row_schema().add(_DAY, "date")).parquet(staged)
         save_days(days, path, replace_days=True)
         if has_postings(spark, path):
-            write_postings(days, path, replace_days=True)
+            write_postings(on_days(read_table(spark, path), days), path, replace_days=True)
         files.delete(spark, staged)
 
 

@@ -89,3 +89,23 @@ def test_an_empty_table(spark, tmp_path):
     none = table(spark).withColumn("created_date", F.to_date("created_at"))
     postings.write_postings(none, path)
     assert postings.search(none, path, g.Filters(search="words")).count() == 0
+
+
+def test_postings_are_far_fewer_than_grams_of_all_incidents(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.write_incidents(table(spark, *[row(i, category="the same long category of all these incidents") for i in range(300)]), path)
+    stored = store.read_incidents(spark, path)
+    postings.write_postings(stored, path)
+    assert spark.read.parquet(postings.postings_path(path)).count() < 300 * 20
+    assert len(ids(postings.search(stored, path, g.Filters(search="LONG category")))) == 300
+
+
+def test_a_block_is_left_out_by_its_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(postings, "BLOCK_ROWS", 4)
+    path = str(tmp_path / "t")
+    store.write_incidents(table(spark, *[row(i, category="needle" if i in (5, 17) else "needy") for i in range(40)]), path)
+    stored = store.read_incidents(spark, path)
+    postings.write_postings(stored, path)
+    assert ids(postings.search(stored, path, g.Filters(search="needle"))) == [f"{i:032d}" for i in (5, 17)]
+    blocks = spark.read.parquet(postings.postings_path(path)).filter("gram = 'dle'").select("from_id", "to_id").collect()
+    assert sorted((int(b[0]), int(b[1])) for b in blocks) == [(4, 7), (16, 19)]
