@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from alertloom.constants import CORRELATION_SOURCE_TAG
 from alertloom.functions.columns import lookup
 from alertloom.operators.distinct import fire_distinct
-from alertloom.operators.rules import Rule, fan_out, match_counts
+from alertloom.operators.rules import Rule, each_hit, match_counts, matches
 from alertloom.operators.skew import TARGET_ROWS, with_chunks
 from alertloom.session import work_path
 
@@ -83,28 +83,35 @@ def fire(alerts: DataFrame, rules: Sequence[Rule], split: str = "auto",
     """Firings of all rules. Counter rules share one shuffle, so do the distinct rules, and
     rules with threshold 1 fire on every match without any.
 
-    The alerts are read and matched once: their hits are landed in the shared folder, and every later pass
-    (counting, slicing, the branches) reads from there the columns it needs.
+    The alerts are read and matched once: each is landed with its hits in the shared folder, and every later pass
+    (counting, slicing, the branches) reads from there the columns it needs. Counting shuffles and sorts hits without
+    their alerts, which are joined to the firings by their place (``_row``); the firings are hashed, so no alert is sorted.
     """
-    hits = landed(fan_out(alerts, rules))
+    matched = landed(alerts, rules)
+    hits = each_hit(matched, "ts_us", "event_id", "_row")
     instant = [r.id for r in rules if r.threshold == 1]
     counters = [r.id for r in rules if r.threshold > 1 and r.member is None]
     distinct = [r.id for r in rules if r.threshold > 1 and r.member is not None]
-    parts = []
+    parts, counted = [], []
     if instant:
-        parts.append(hits.filter(F.col("rule_id").isin(instant)).drop("member"))
+        parts.append(each_hit(matched, "ts_us", "event_id", "alert").filter(F.col("rule_id").isin(instant)).drop("member"))
     if counters:
-        parts.append(fire_counter(hits.filter(F.col("rule_id").isin(counters)).drop("member"), split, target_rows))
+        counted.append(fire_counter(hits.filter(F.col("rule_id").isin(counters)).drop("member"), split, target_rows))
     if distinct:
-        parts.append(fire_distinct(hits.filter(F.col("rule_id").isin(distinct)), split, target_rows).drop("member"))
+        counted.append(fire_distinct(hits.filter(F.col("rule_id").isin(distinct)), split, target_rows).drop("member"))
+    if counted:
+        fired = reduce(DataFrame.unionByName, counted).hint("shuffle_hash")
+        parts.append(matched.select("_row", "alert").join(fired, "_row").drop("_row"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def landed(hits: DataFrame) -> DataFrame:
-    spark = hits.sparkSession
+def landed(alerts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The alerts that match a rule, with their hits, in files; ``_row`` numbers them, with gaps."""
+    spark = alerts.sparkSession
+    found = matches(alerts, rules).withColumn("_row", F.monotonically_increasing_id())
     path = work_path(spark, "hits", uuid.uuid4().hex)
-    hits.write.parquet(path)
-    return spark.read.schema(hits.schema).parquet(path)
+    found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def build_incidents(fired: DataFrame, rules: Sequence[Rule]) -> DataFrame:

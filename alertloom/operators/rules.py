@@ -6,7 +6,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from alertloom.constants import BRUTE_FORCE_RULE_IDS, CORRELATION_RULES, PORT_SCAN_RULE_ID, PRIVILEGE_MARKERS
-from alertloom.functions.columns import micros
+from alertloom.functions.columns import micros, once
 
 
 @dataclass(frozen=True)
@@ -80,21 +80,30 @@ def _hit(rule: Rule) -> Column:
     )
 
 
-def fan_out(alerts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per (alert, matching rule): rule_id, key, member, window_us, threshold, ts_us,
-    event_id and the parts of the alert an incident keeps.
+def matches(alerts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per alert that matches a rule: ``hits`` (rule_id, key, member, window_us, threshold), ts_us, event_id and the parts of
+    the alert an incident keeps.
 
     All rules are tested in one pass; the alert text and payload are left behind here, so
     they never reach a shuffle.
     """
     hits = F.array_compact(F.array(*[F.when(r.match(), _hit(r)) for r in rules]))
     kept = F.struct(*[F.col(c) for c in ("host", "source", "rule", "event", "asset") if c in alerts.columns])
-    return (
-        alerts.select(
-            F.explode(hits).alias("hit"), micros(F.col("event_ts")).alias("ts_us"),
-            F.col("event.id").alias("event_id"), kept.alias("alert"))
-        .select("hit.*", "ts_us", "event_id", "alert")
-    )
+    found = alerts.select(
+        once(hits).alias("hits"), micros(F.col("event_ts")).alias("ts_us"),
+        F.col("event.id").alias("event_id"), kept.alias("alert"))
+    return found.filter(F.size("hits") > 0)
+
+
+def each_hit(matched: DataFrame, *kept: str) -> DataFrame:
+    """The hits of ``matches``, one row each, with the columns in ``kept``."""
+    return matched.select(F.explode("hits").alias("hit"), *kept).select("hit.*", *kept)
+
+
+def fan_out(alerts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per (alert, matching rule): rule_id, key, member, window_us, threshold, ts_us,
+    event_id and the parts of the alert an incident keeps."""
+    return each_hit(matches(alerts, rules), "ts_us", "event_id", "alert")
 
 
 def match_counts(alerts: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -196,3 +196,21 @@ def test_a_burst_and_a_sparse_time_are_cut_alike(spark):
     assert all(x["b"] < y["a"] for x, y in zip(hot, hot[1:]))
     assert [(r["key"], r["n"]) for r in rows if r["key"] != "hot"] == [("cold", 100), ("moment", 500)]
     assert with_chunks(df, ["rule_id", "key"], "auto", 30_000)[1] is False and with_chunks(df, ["rule_id", "key"], "always", 20_000)[1] is False
+
+
+def test_hits_are_sorted_without_their_alerts(spark):
+    from alertloom.operators.correlate import fire
+    from alertloom.operators.rules import RULES
+
+    rows = [(str(i % 50), f"note {i % 50}") for i in range(100)]  # every alert comes twice, with the same id
+    alerts = spark.createDataFrame(rows, "id string, note string").select(
+        F.struct("id", F.lit("low").alias("severity"), F.col("note").alias("reason")).alias("event"),
+        F.struct(F.lit("1").alias("id"), F.lit("x").alias("category")).alias("rule"),
+        F.struct(F.lit("10.0.0.1").alias("ip")).alias("source"), F.struct(F.lit("h").alias("name")).alias("host"),
+        F.timestamp_seconds(F.col("id").cast("long")).alias("event_ts"))
+    fired = fire(alerts, RULES)
+    plan = fired._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and not any("alert#" in line.partition("Window")[2] for line in windows)
+    found = sorted((r["event_id"], r["alert"]["event"]["reason"]) for r in fired.collect())
+    assert found == sorted((str(i), f"note {i}") for i in (9, 19, 29, 39, 49))
