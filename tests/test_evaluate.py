@@ -186,3 +186,19 @@ def test_boosted_search_has_a_learning_rate(spark):
     search, names = ev.boosted_search(df, ["x", "y"], "digest", depths=(2,), rounds=(2,), steps=(0.05, 0.5), parallelism=1)
     assert names == ["a", "b", "c"] and len(search.avgMetrics) == 2 and max(search.avgMetrics) > 0.9
     assert {p.name for g in search.getEstimatorParamMaps() for p in g} == {"maxDepth", "maxIter", "stepSize"}
+
+
+def test_a_run_given_twice_ends_when_it_ends(spark):
+    twice = runs(spark, [(100, 110, ""), (50, 500, "")])
+    twice = twice.unionByName(twice.filter("run_idx = 0"))
+    got = labeling.label_alerts(alerts(spark, [(105, "x"), (300, "x")]), run_windows(twice)).select("event_id", "label").collect()
+    assert sorted(tuple(r) for r in got) == [("0", "c0"), ("0", "c0"), ("1", "c1")]
+
+
+def test_long_windows_are_swept_where_they_end(spark, monkeypatch):
+    marks = []
+    swept = labeling._swept
+    monkeypatch.setattr(labeling, "_swept", lambda m, width: (marks.append(m.count()), swept(m, width))[1])
+    run_rows = [(i, 100_000 + i, "10.0.0.1") for i in range(300)]
+    assert label(spark, [(50_000, "10.0.0.1"), (100_290, "x"), (5, "10.0.0.1")], run_rows) == {0: "c0", 1: "c285", 2: "c0"}
+    assert marks[0] < 10_000 and marks[1] < 5_000  # a mark for every run and bucket would be 100 000
