@@ -4,7 +4,10 @@ import itertools
 import os
 import random
 import time
+from types import SimpleNamespace
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from alertloom.functions.normalize import enrich, normalize
@@ -203,3 +206,115 @@ def test_counters_are_those_of_all_batches_and_restarts(spark, tmp_path):
     land(tmp_path / "landing", "more.json", rows[200:207])
     again = run()
     assert again["batches"] > first["batches"] and (again["input"], again["lines"], again["errors"], again["late"]) == (215, 215, 104, 0)
+
+
+class _Cell(dict):
+    """A map or value state in memory that counts what is written."""
+
+    def __init__(self, written):
+        super().__init__()
+        self.written = written
+
+    def updateValue(self, key, value):
+        self.written.append(value)
+        self[key] = value
+
+    def getValue(self, key):
+        return self[key]
+
+    def removeKey(self, key):
+        del self[key]
+
+    def keys(self):
+        return iter(list(super().keys()))
+
+    def exists(self):
+        return () in self
+
+    def get(self):
+        return self[()]
+
+    def update(self, value):
+        self[()] = value
+
+
+class _Handle:
+    """The state of one key."""
+
+    def __init__(self):
+        self.states, self.written, self.timers = {}, [], set()
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, _Cell(self.written if name == "pieces" else []))
+
+    def getValueState(self, name, *_):
+        return self.states.setdefault(name, _Cell([]))
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+def _step(processor, handle, key, rows, passed_us):
+    """One micro-batch of a key, in Arrow batches of 100 rows, and its timers; the ids of the events that fire."""
+    names = ["ts_us", "event_id", "member", "alert"]
+    batches = (pd.DataFrame(rows[i:i + 100], columns=names) for i in range(0, len(rows), 100))
+    times = SimpleNamespace(getCurrentWatermarkInMs=lambda: passed_us // 1000)
+    if rows:
+        assert list(processor.handleInputRows(key, batches, times)) == []
+    fired = []
+    for at in sorted(t for t in handle.timers if t <= passed_us // 1000):
+        for out in processor.handleExpiredTimer(key, times, None):
+            fired += out["event_id"].tolist()
+        handle.timers.discard(at)
+    return fired
+
+
+def _counted(rows, window_us, threshold, distinct):
+    last, seen, fired = None, [], []
+    for ts, event_id, member, _ in sorted(rows):
+        seen = [] if last is not None and ts - last > window_us else seen
+        last = ts
+        if not (distinct and member in seen):
+            seen.append(member)
+            if len(seen) == threshold:
+                fired.append(event_id)
+                seen = []
+    return fired
+
+
+def test_waiting_matches_in_small_pieces_fire_as_counted_whole(monkeypatch):
+    from alertloom.streaming import correlate as c
+
+    monkeypatch.setattr(c, "PIECE", 7)
+    monkeypatch.setattr(c, "MERGE", 11)
+    rnd = random.Random(5)
+    for distinct in (False, True):
+        rows = [(rnd.randrange(0, 4000) * 1000, f"{i:05d}", f"m{rnd.randrange(4)}", "{}") for i in range(3000)]
+        rows += rows[:50]
+        rows = [r for r in rows if r[0] // 100_000 % 3]
+        arrival = lambda r: r[0] // 1_000_000 + r[0] // 1000 % 2
+        processor, handle = c._Counter({"R": (20_000, 3, distinct)}), _Handle()
+        processor.init(handle)
+        fired = []
+        for k in range(5):
+            late = [r for r in rows if arrival(r) == k]
+            rnd.shuffle(late)
+            fired += _step(processor, handle, ("R", "h"), late, (k - 1) * 1_000_000 if k else 0)
+        fired += _step(processor, handle, ("R", "h"), [], 60_000_000)
+        assert fired == _counted(rows, 20_000, 3, distinct) and len(fired) > 100
+        _step(processor, handle, ("R", "h"), [], 120_000_000)
+        assert not any(handle.states.values()) and not handle.timers
+
+
+def test_a_step_leaves_matches_that_wait_on_where_they_are():
+    """A watermark that passes a few of 50 000 waiting matches reads and writes a few pieces, not the key."""
+    from alertloom.streaming import correlate as c
+
+    rows = [(i * 1_000_000, f"{i:06d}", "m", "{}") for i in range(50_000)]
+    processor, handle = c._Counter({"R": (2_000_000, 3, False)}), _Handle()
+    processor.init(handle)
+    assert _step(processor, handle, ("R", "h"), rows, 0) == []
+    handle.written.clear()
+    assert _step(processor, handle, ("R", "h"), [], 30_500_000) == [f"{i:06d}" for i in range(2, 31, 3)]
+    assert len(handle.written) == 1 and len(c._unpacked(handle.written[0][0])) < 100
+    assert sum(size for (size,) in handle.states["begins"].values()) == 50_000 - 31
