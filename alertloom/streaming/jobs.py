@@ -101,11 +101,14 @@ def current_documents(spark: SparkSession, path: str) -> DataFrame:
         .alias("d")).select("d.*")
 
 
-def run_available(writer: DataStreamWriter, timeout_seconds: int = 600) -> StreamingQuery:
-    """Start a query, let it process all available input, and wait for its end."""
+def run_available(writer: DataStreamWriter, timeout_seconds: int | None = None) -> StreamingQuery:
+    """Start a query, let it process all available input, and wait for its end, which takes as long as the input asks for unless
+    ``timeout_seconds`` sets a bound."""
     Progress.of(SparkSession.active())
     query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout_seconds):
+    if timeout_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_seconds):
         query.stop()
         raise TimeoutError("the stream did not finish in time")
     return query

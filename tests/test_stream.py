@@ -318,3 +318,13 @@ def test_a_step_leaves_matches_that_wait_on_where_they_are():
     assert _step(processor, handle, ("R", "h"), [], 30_500_000) == [f"{i:06d}" for i in range(2, 31, 3)]
     assert len(handle.written) == 1 and len(c._unpacked(handle.written[0][0])) < 100
     assert sum(size for (size,) in handle.states["begins"].values()) == 50_000 - 31
+
+
+def test_a_run_without_a_bound_is_not_ended(spark):
+    """A query that needs longer than ten minutes."""
+    asked = []
+    query = SimpleNamespace(awaitTermination=lambda *bound: asked.append(bound) or (None if not bound else False), stop=lambda: None)
+    writer = SimpleNamespace(trigger=lambda **_: SimpleNamespace(start=lambda: query))
+    assert jobs.run_available(writer) is query and asked == [()]
+    with pytest.raises(TimeoutError):
+        jobs.run_available(writer, 1)
