@@ -166,6 +166,26 @@ def test_shallower_forests_are_the_top_of_the_deepest(spark):
         assert nodes[0] == nodes[1]
 
 
+@pytest.mark.parametrize("kinds", [0, 9])
+def test_one_walk_scores_a_forest_at_all_depths(spark, kinds, monkeypatch):
+    named = {"ml_attr": {"attrs": {"nominal": [{"vals": list("abcdefghi"), "idx": k, "name": str(k)} for k in range(2)], "numeric": [
+        {"idx": k, "name": str(k)} for k in (2, 3)]}, "num_attrs": 4}}
+    rows = noisy(spark)
+    if kinds:  # two of the columns are categories
+        rows = rows.withMetadata("_features", named)
+    made = dict(labelCol="_label", featuresCol="_features", predictionCol="_prediction", seed=42)
+    deep = forests.Saved(RandomForestClassifier(**made, numTrees=9, maxDepth=5).fit(rows.filter("_fold = 0")))
+    assert bool(kinds) == (deep.nodes().filter("nodeData.split.numCategories > 0").count() > 0)
+    held = rows.filter("_fold = 1")
+    want = {}
+    for depth in (0, 2, 5):
+        said = deep.cut(depth).transform(held).groupBy("_label", "_prediction").count().collect()
+        want |= {(depth, r["_label"], r["_prediction"]): r["count"] for r in said}
+    monkeypatch.setattr(forests.Saved, "cut", None)
+    assert {tuple(r)[:3]: r["n"] for r in deep.counts(held, [0, 2, 5]).collect()} == want
+    assert deep.counts(held.limit(0), [2]).count() == 0
+
+
 def test_grid_of_depths_is_fitted_once(spark, monkeypatch):
     rows = noisy(spark)
     fits = []
