@@ -16,7 +16,7 @@ from alertloom.operators.features import features
 from alertloom.operators.rules import fan_out, match_counts
 from alertloom.operators.table import edit_rows, read_table, upsert_rows
 from alertloom.plans import derive as d
-from alertloom.session import work_path
+from alertloom.session import shuffles_dropped, work_path
 from alertloom.sources import alerts as feed, events as ev, tables
 from alertloom.sources.connectors import Topics
 from alertloom.streaming import jobs
@@ -715,10 +715,11 @@ def s_store(spark, sf_dir):
     """Scored incidents from a topic into the table and the documents; the table as it stands."""
     base = _run(spark, "store", sf_dir)
     topics = Topics("files", f"{base}/topics")
-    topics.write(d.score_by_rule(d.incidents(spark, sf_dir)), "results", key="incident_id")
-    scored = jobs.scored_incidents_of(topics.read_stream(spark, "results", position=True))
-    jobs.run_available(jobs.store_stream(
-        scored, f"{base}/checkpoint", f"{base}/table", f"{base}/documents", f"{base}/rejects"))
+    with shuffles_dropped(spark):
+        topics.write(d.score_by_rule(d.incidents(spark, sf_dir)), "results", key="incident_id")
+        scored = jobs.scored_incidents_of(topics.read_stream(spark, "results", position=True))
+        jobs.run_available(jobs.store_stream(
+            scored, f"{base}/checkpoint", f"{base}/table", f"{base}/documents", f"{base}/rejects"))
     return read_table(spark, f"{base}/table").select(
         "id", at("created_at").alias("created_at"), at("last_seen").alias("last_seen"), "severity", "category",
         "confidence", F.array_join("source_ips", ",").alias("source_ips"),

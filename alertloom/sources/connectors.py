@@ -1,7 +1,8 @@
 """Topic sources and sinks with a Kafka and a file back-end.
 
 The Kafka back-end needs Spark's Kafka connector on the classpath. The file back-end keeps a
-topic as a folder of JSON-lines files and works everywhere.
+topic as a folder of JSON-lines files and works everywhere. It writes them as gzip, as brokers keep
+batches compressed; files that others put there may be plain.
 """
 
 from dataclasses import dataclass, field
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 # Times keep their microseconds.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_PACKED = {"compression": "gzip"}
 
 
 @dataclass(frozen=True)
@@ -73,7 +75,7 @@ class Topics:
     def write(self, df: DataFrame, topic: str, key: str | None = None) -> None:
         out = encode(df, key)
         if self.kind == "files":
-            out.select("value").write.mode("append").text(self._folder(topic))
+            out.select("value").write.mode("append").options(**_PACKED).text(self._folder(topic))
         else:
             (out.write.format("kafka").option("kafka.bootstrap.servers", self.location)
              .option("kafka.acks", "all").option("topic", topic).save())

@@ -12,7 +12,7 @@ from alertloom.functions.normalize import enrich, normalize
 from alertloom.operators import model as classifier, store
 from alertloom.operators.table import upsert_rows
 from alertloom.schemas import INCIDENT, SCORED_INCIDENT
-from alertloom.sources import alerts as feed
+from alertloom.sources import alerts as feed, files
 
 
 def observed(parsed: DataFrame) -> DataFrame:
@@ -63,26 +63,31 @@ def store_batch(scored: DataFrame, batch_id: int, table: str, docs: str, rejects
 
     Within a batch, rows of one id are ordered by ``_position``, their place in the source, and the line within a file; without one by
     their time and content. So a retry writes the same. Every sink is tried, and applying a batch again leaves each as it was. If
-    any failed the batch fails, so the checkpoint makes Spark run it again.
+    any failed the batch fails, so the checkpoint makes Spark run it again. The sinks read the batch from a folder beside the table, where
+    it takes less room than in a cache on the executors' disks; the folder goes with the batch.
     """
     if "_position" in scored.columns:
         place = F.struct("_position.*", F.monotonically_increasing_id().alias("line"))
     else:
         place = F.struct(F.col("`@timestamp`").alias("time"), F.xxhash64(F.to_json(F.struct("*"))).alias("content"))
-    scored = scored.withColumn("_seq", place).persist()
+    spark, landed = scored.sparkSession, f"{table}_landed"
+    scored = scored.withColumn("_seq", place)
+    scored.write.mode("overwrite").options(**store.PASSING).parquet(landed)
+    scored = spark.read.schema(scored.schema).parquet(landed)
     rows = store.store_rows(scored, kept=["_seq"])
-    documents = store.documents(scored, F.col("_seq")).withColumn("_seq", F.lit(0))
     failures = []
     for name, write in (
-        ("table", lambda: upsert_rows(table, store.accepted(rows))),
+        ("table", lambda: upsert_rows(table, store.accepted(rows), landed=True)),
         ("rejects", lambda: store.append_batch(store.rejected(rows), rejects, batch_id)),
-        ("documents", lambda: store.append_batch(documents, docs, batch_id)),
+        ("documents", lambda: store.append_batch(
+            store.landed_documents(scored, F.col("_seq"), f"{table}_again").withColumn("_seq", F.lit(0)), docs, batch_id)),
     ):
         try:
             write()
         except Exception as e:
             failures.append(f"{name}: {e}")
-    scored.unpersist()
+    for scratch in (landed, f"{table}_again"):
+        files.delete(spark, scratch)
     if failures:
         raise RuntimeError("; ".join(failures))
 

@@ -81,6 +81,14 @@ def test_duplicate_addresses_do_not_multiply_alerts(spark, parsed):
     assert {r[0] for r in alerts.select("asset.hostname").collect()} == {"unknown", "web-srv-01"}
 
 
+def test_file_topics_are_packed_and_plain_files_read(spark, tmp_path):
+    topics = Topics("files", str(tmp_path))
+    topics.write(spark.range(3).select(F.col("id").alias("v")), "t")
+    assert [f for f in (tmp_path / "t").glob("part-*")] == [f for f in (tmp_path / "t").glob("part-*.gz")] != []
+    (tmp_path / "t" / "plain.txt").write_text('{"v":9}\n')
+    assert sorted(r[0] for r in topics.read(spark, "t").collect()) == ['{"v":0}', '{"v":1}', '{"v":2}', '{"v":9}']
+
+
 def test_file_topics_round_trip(spark, tmp_path):
     topics = Topics("files", str(tmp_path))
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")

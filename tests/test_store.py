@@ -316,3 +316,80 @@ def test_look_up_skips_row_groups_without_the_id(spark, tmp_path):
         got = g.get(found, hashlib.md5(str(number).encode()).hexdigest())
         assert got.count() == 1 and _rows_scanned(got) < 1000  # of 4 000, 1 000 a day
     assert _rows_scanned(g.get(found, "8" * 32)) == 0
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_only_repeated_keys_are_folded(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(store, "BROADCAST_BYTES", limit)
+    rows = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), (None, 1), (None, 3), ("c", 5)], "id string, n int")
+    folded = []
+
+    def fold(some):
+        folded.extend(r["id"] for r in some.collect())
+        return some.groupBy("id").agg(F.max("n").alias("n"))
+
+    got = store.by_repeats(rows, "id", str(tmp_path / "again"), lambda one: one, fold)
+    assert {tuple(r) for r in got.collect()} == {("a", 1), ("b", 2), (None, 3), ("c", 5)} and got.count() == 4
+    assert len(folded) == (4 if limit else 6)
+
+
+def test_a_batch_with_repeated_ids_leaves_no_scratch(spark, tmp_path):
+    from alertloom.operators.table import read_table
+    from alertloom.streaming import jobs
+
+    def record(i, severity):
+        return {"incident_id": f"{i:032d}", "@timestamp": T0, "severity": severity, "event_count": severity == "high" and 9 or 1}
+
+    batch = scored(spark, record(1, "low"), record(2, "low"), record(1, "high"), {"severity": "low"}).coalesce(1).withColumn(
+        "_position", F.struct(F.lit(T0).alias("time"), F.lit("f").alias("name"), F.lit(None).cast("long").alias("offset")))
+    paths = [str(tmp_path / name) for name in ("table", "docs", "rejects")]
+    for _ in range(2):
+        jobs.store_batch(batch, 0, *paths)
+        got = {r["id"][-1]: (r["severity"], r["event_count"]) for r in read_table(spark, paths[0]).collect()}
+        assert got == {"1": (0, 9), "2": (0, 1)}  # the first row's severity, the last one's count
+        docs = jobs.current_documents(spark, paths[1]).select("incident_id", "severity").collect()
+        assert {(r[0] or "")[-1:]: r[1] for r in docs} == {"1": "high", "2": "low", "": "low"}
+        assert spark.read.parquet(paths[2]).count() == 1
+        assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["docs", "rejects", "table"]
+
+
+def test_days_are_replaced_in_groups(spark, tmp_path, monkeypatch):
+    from alertloom.operators import table as t
+
+    days = [row(i, created_at=T0 + dt.timedelta(days=d)) for i, d in enumerate([0, 0, 0, 1, 2, 3])]
+    saved = []
+    save = t.save_days
+    monkeypatch.setattr(t, "save_days", lambda rows, *a, **k: (saved.append(rows.count()), save(rows, *a, **k))[1])
+    for most, sizes in ((2, [3, 2, 1]), (100, [6])):
+        monkeypatch.setattr(t, "TOGETHER", most)
+        path = str(tmp_path / str(most))
+        t.upsert_rows(path, table(spark, *days))
+        assert saved == sizes and t.read_table(spark, path).count() == 6
+        saved.clear()
+
+
+def test_first_rows_of_a_table_are_not_joined(spark, tmp_path):
+    from alertloom.operators.table import read_table
+
+    batch = table(spark, row(1))
+    plan = store.upsert(read_table(spark, str(tmp_path / "none")).drop("created_date"), batch)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    from alertloom.session import shuffles_dropped
+
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())}
+
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7)
+    before, deadline = held(), dt.datetime.now() + dt.timedelta(seconds=20)
+    with shuffles_dropped(spark):
+        rows.repartition(3, "k").write.parquet(str(tmp_path / "a"))
+        sums = rows.groupBy("k").agg(F.sum("id").alias("s"))
+        assert sums.count() == 7 and len(sums.collect()) == 7
+    while [f for f in held() - before if f.startswith("shuffle_")] and dt.datetime.now() < deadline:
+        pass
+    assert not [f for f in held() - before if f.startswith("shuffle_")]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
