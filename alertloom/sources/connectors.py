@@ -66,7 +66,7 @@ class Topics:
         writer = encode(df, key).writeStream.option("checkpointLocation", checkpoint).outputMode("append")
         if self.kind == "files":
             text = encode(df).writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-            return text.format("text").option("path", self._folder(topic))
+            return text.format("text").options(**_PACKED).option("path", self._folder(topic))
         return (
             writer.format("kafka").option("kafka.bootstrap.servers", self.location)
             .option("kafka.acks", "all").option("topic", topic)

@@ -157,3 +157,14 @@ def test_timed_ingest_leaves_undated_alerts_out(spark):
     df = spark.createDataFrame([(r,) for r in lines], "value string")
     assert {r["_event_id"] for r in feed.ingest(df, timed=True).collect()} == {"1"}
     assert feed.ingest(df).count() == 4
+
+
+def test_streams_write_packed_topics(spark, tmp_path):
+    from alertloom.streaming import jobs
+
+    topics = Topics("files", str(tmp_path))
+    topics.write(spark.range(3).select(F.col("id").alias("v")), "t")
+    found = topics.read_stream(spark, "t").select(F.length("value").alias("n"))
+    jobs.run_available(topics.write_stream(found, "out", str(tmp_path / "checkpoint")))
+    assert [f for f in (tmp_path / "out").glob("part-*")] == [f for f in (tmp_path / "out").glob("part-*.gz")] != []
+    assert [r[0] for r in topics.read(spark, "out").collect()] == ['{"n":7}'] * 3
